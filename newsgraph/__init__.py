@@ -1 +1,8 @@
 """newsgraph: news-text analytics on Spark DataFrames."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# The few functions that run in Python workers travel with the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -7,9 +7,10 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def _matching_ratio(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([
         SequenceMatcher(None, a.lower(), b.lower()).ratio() if a is not None and b is not None else None

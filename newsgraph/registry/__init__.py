@@ -1,0 +1,19 @@
+"""Registered queries and their checking SQL, one module per part of the inventory."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from newsgraph.registry import found, texts
+
+MODULES = [texts, found]
+
+
+def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: entry[0] for module in MODULES for name, entry in module.QUERIES.items()}
+
+
+def all_sql() -> dict[str, str]:
+    return {name: entry[1] for module in MODULES for name, entry in module.QUERIES.items() if entry[1]}
