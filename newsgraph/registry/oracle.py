@@ -85,6 +85,8 @@ def _label_case(piece: str) -> str:
     ) + " END"
 
 
+# the scanner without its shortcut for plain words
+_PIECE = lx.PIECE.removeprefix(rf"{lx._PLAIN_START}{lx._REST}|")
 _TYPE_LIST = "[" + ", ".join(f"'{t}'" for t in lx.ENTITY_TYPES) + "]"
 _ALL_TYPES = "[" + ", ".join(f"'{t}'" for t in lx.ENTITY_TYPES + lx.ATTRIBUTE_TYPES) + "]"
 _CONFIDENCE = (
@@ -103,24 +105,23 @@ def mention_ctes(prefix: str, source: str, text: str, capitalised: bool = True)
 
     return {
         f"{prefix}pieces": f"""
-            SELECT article_id, unnest(p) AS piece, unnest(range(len(p))) AS pos
-            FROM (SELECT article_id, regexp_extract_all({text}, {q(lx.PIECE)}, 0) AS p FROM {source})""",
+            SELECT article_id, pos, piece,
+                   lead(piece, 1) OVER (PARTITION BY article_id ORDER BY pos) AS piece2,
+                   lead(piece, 2) OVER (PARTITION BY article_id ORDER BY pos) AS piece3
+            FROM (SELECT article_id, unnest(p) AS piece, unnest(range(len(p))) AS pos
+                  FROM (SELECT article_id, regexp_extract_all({text}, {q(_PIECE)}, 0) AS p FROM {source}))""",
         f"{prefix}attributes": f"""
-            SELECT article_id, pos, 1 AS words, piece AS text, {_label_case('piece')} AS label
-            FROM {prefix}pieces WHERE {_label_case('piece')} IS NOT NULL""",
+            SELECT * FROM (SELECT article_id, pos, 1 AS words, piece AS text, {_label_case('piece')} AS label
+                           FROM {prefix}pieces) WHERE label IS NOT NULL""",
+        f"{prefix}starts": f"""
+            SELECT * FROM {prefix}pieces WHERE {word('piece')} AND regexp_full_match(piece, '(?s){first}')""",
         f"{prefix}grams": f"""
-            SELECT a.article_id, a.pos, 1 AS words, a.piece AS text FROM {prefix}pieces a
-            WHERE {word('a.piece')} AND regexp_full_match(a.piece, '(?s){first}')
+            SELECT article_id, pos, 1 AS words, piece AS text FROM {prefix}starts
             UNION ALL
-            SELECT a.article_id, a.pos, 2, a.piece || ' ' || b.piece
-            FROM {prefix}pieces a JOIN {prefix}pieces b ON a.article_id = b.article_id AND b.pos = a.pos + 1
-            WHERE {word('a.piece')} AND regexp_full_match(a.piece, '(?s){first}') AND {word('b.piece')}
+            SELECT article_id, pos, 2, piece || ' ' || piece2 FROM {prefix}starts WHERE {word('piece2')}
             UNION ALL
-            SELECT a.article_id, a.pos, 3, a.piece || ' ' || b.piece || ' ' || c.piece
-            FROM {prefix}pieces a JOIN {prefix}pieces b ON a.article_id = b.article_id AND b.pos = a.pos + 1
-            JOIN {prefix}pieces c ON a.article_id = c.article_id AND c.pos = a.pos + 2
-            WHERE {word('a.piece')} AND regexp_full_match(a.piece, '(?s){first}')
-              AND {word('b.piece')} AND {word('c.piece')}""",
+            SELECT article_id, pos, 3, piece || ' ' || piece2 || ' ' || piece3 FROM {prefix}starts
+            WHERE {word('piece2')} AND {word('piece3')}""",
         f"{prefix}gazhits": f"""
             SELECT g.article_id, g.pos, g.words, g.text, z.label
             FROM {prefix}grams g JOIN gazetteer z ON lower(g.text) = z.term""",
@@ -236,17 +237,17 @@ CTES: dict[str, str] = {
             JOIN tokens o ON o.article_id = r.article_id AND o.i = oi.i
             WHERE r.dep = 'ROOT')""",
     # -- mentions
-    **mention_ctes("", "articles", "text"),
+    **mention_ctes("doc_", "articles", "text"),
     **mention_ctes("sum_", "summaries", "summary"),
     "raw_turns": "SELECT article_id, coalesce(\"Sentence\", '') AS text FROM turns",
     **mention_ctes("raw_turn_", "raw_turns", "text"),
     "entity_longest": """
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id, pos ORDER BY words DESC) AS rn FROM gazhits)
+        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id, pos ORDER BY words DESC) AS rn FROM doc_gazhits)
         WHERE rn = 1""",
     # -- linking
     "candidates": """
         SELECT lower(trim(label)) AS key, label, item, score FROM catalogue""",
-    "mention_texts": "SELECT text, count(*) AS n FROM mentions GROUP BY text",
+    "mention_texts": "SELECT text, count(*) AS n FROM doc_mentions GROUP BY text",
     "pairs": """
         SELECT m.text, m.n, c.label, c.item, c.score,
                row_number() OVER (PARTITION BY m.text ORDER BY c.score DESC NULLS LAST, c.item ASC NULLS LAST, c.label) AS rank
@@ -259,7 +260,7 @@ CTES: dict[str, str] = {
         FROM pairs WHERE rank = 1""",
     "linked": """
         SELECT m.article_id, m.pos, m.text, m.label AS type, l.uri, l.confidence
-        FROM mentions m JOIN links l ON m.text = l.text WHERE l.confidence >= 0.5::DOUBLE""",
+        FROM doc_mentions m JOIN links l ON m.text = l.text WHERE l.confidence >= 0.5::DOUBLE""",
     "relations": """
         SELECT * FROM all_relations r WHERE confidence >= 0.4::DOUBLE
           AND EXISTS (SELECT 1 FROM linked l WHERE l.article_id = r.article_id)""",
@@ -359,4 +360,4 @@ def sql(body: str) -> str:
     visit(body)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({CTES[n].strip()})" for n in needed) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({CTES[n].strip()})" for n in needed) + "\n" + body
