@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from newsgraph import lexicon as lx
 from newsgraph.functions.similarity import levenshtein_ratio, matching_ratio, trigrams
 from newsgraph.operators.scale import HOT_ROWS, lookup_join, range_rank
+from newsgraph.scratch import materialise
 
 
 def lookup_key(text: Column) -> Column:
@@ -79,9 +80,8 @@ def best_candidates(catalogue: DataFrame) -> DataFrame:
     )
 
 
-def confidence_of(text: Column, label: Column, score: Column, similarity: Column | None = None) -> Column:
-    """Candidate score if there is one, else similarity of text and label."""
-    similarity = matching_ratio(text, F.coalesce(label, F.lit(""))) if similarity is None else similarity
+def confidence_of(score: Column, similarity: Column) -> Column:
+    """Candidate score if there is one, else the similarity of text and label."""
     return F.coalesce(score, similarity)
 
 
@@ -89,21 +89,18 @@ def link_texts(mentions: DataFrame, catalogue: DataFrame, builtin_similarity: bo
     """(text, n, uri, confidence): the link of every distinct mention text that has a candidate.
 
     A candidate without an item, or with a score that is no number, gives an empty uri and confidence 0.1. The
-    similarity runs once per distinct text and only where the score is missing: those rows take a branch of their
-    own, so no other row crosses into Python.
+    similarity runs once per distinct text, and the Python function sees nulls where the score makes it needless.
     """
     found = distinct_texts(mentions).join(best_candidates(catalogue), "key")
     malformed = F.col("item").isNull() | F.col("bad_score")
-    scored = found.where(malformed | F.col("score").isNotNull()).select(
+    compare = ~malformed & F.col("score").isNull()
+    ratio = levenshtein_ratio if builtin_similarity else matching_ratio
+    similarity = ratio(F.when(compare, F.col("text")), F.when(compare, F.coalesce("label", F.lit(""))))
+    return found.select(
         "text", "n",
         F.when(malformed, F.lit("")).otherwise(F.col("item")).alias("uri"),
-        F.when(malformed, F.lit(lx.MALFORMED_CONFIDENCE)).otherwise(F.col("score")).alias("confidence"),
-    )
-    ratio = levenshtein_ratio if builtin_similarity else matching_ratio
-    compared = found.where(~malformed & F.col("score").isNull()).select(
-        "text", "n", F.col("item").alias("uri"), ratio(F.col("text"), F.coalesce("label", F.lit(""))).alias("confidence")
+        F.when(malformed, F.lit(lx.MALFORMED_CONFIDENCE)).otherwise(confidence_of(F.col("score"), similarity)).alias("confidence"),
     )
-    return scored.union(compared)
 
 
 def link_mentions(
@@ -115,11 +112,13 @@ def link_mentions(
 ) -> DataFrame:
     """(article_id, pos, text, type, uri, confidence) of the linked mentions with confidence >= threshold.
 
-    Mentions without a candidate are dropped. The threshold is applied to the links before they meet the mentions.
+    Mentions without a candidate are dropped. The threshold is applied to the links before they meet the mentions. The
+    links, one row per distinct text, are written to the shared folder: the join reads them twice.
     """
     links = link_texts(mentions, catalogue, builtin_similarity)
     if threshold is not None:
         links = links.where(F.col("confidence") >= F.lit(threshold))
+    links = materialise(links, "links")
     joined = lookup_join(mentions, links, "text", "n", ["article_id", "pos"], hot_rows=hot_rows)
     return joined.select("article_id", "pos", "text", F.col("label").alias("type"), "uri", "confidence")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import functions as F
 
 from newsgraph.functions.similarity import levenshtein_ratio
@@ -10,13 +12,26 @@ from newsgraph.operators import linking as ln
 from newsgraph.operators import mentions as mn
 from newsgraph.registry import oracle as o
 from newsgraph.registry.inputs import articles, catalogue, gazetteer, longs, table, turns
+from newsgraph.scratch import materialise
 
 
-def found(spark, sf_dir):
-    """All mentions of the documents."""
+def fresh_mentions(spark, sf_dir):
+    """All mentions of the documents, computed from the texts."""
     return mn.all_mentions(articles(spark, sf_dir), gazetteer(spark, sf_dir))
 
 
+@lru_cache(maxsize=8)
+def found(spark, sf_dir):
+    """All mentions of the documents, staged once per session: linking and counting read them several times."""
+    return materialise(fresh_mentions(spark, sf_dir), "mentions")
+
+
+@lru_cache(maxsize=8)
+def linked(spark, sf_dir):
+    """Linked mentions, staged once per session."""
+    return materialise(ln.link_mentions(found(spark, sf_dir), catalogue(spark, sf_dir)), "linked")
+
+
 def attribute_mentions(spark, sf_dir):
     return longs(mn.attribute_mentions(articles(spark, sf_dir)).drop("words"))
 
@@ -26,7 +41,7 @@ def entity_mentions(spark, sf_dir):
 
 
 def all_mentions(spark, sf_dir):
-    return longs(found(spark, sf_dir))
+    return longs(fresh_mentions(spark, sf_dir))
 
 
 def exploded_mentions(spark, sf_dir):
@@ -113,12 +128,9 @@ def unlinked(spark, sf_dir):
     return ln.unlinked_texts(found(spark, sf_dir), catalogue(spark, sf_dir))
 
 
-def linked(spark, sf_dir):
-    return ln.link_mentions(found(spark, sf_dir), catalogue(spark, sf_dir))
-
-
 def linked_rows(spark, sf_dir):
-    return longs(linked(spark, sf_dir).withColumn("confidence", F.round("confidence", 6)))
+    rows = ln.link_mentions(found(spark, sf_dir), catalogue(spark, sf_dir))
+    return longs(rows.withColumn("confidence", F.round("confidence", 6)))
 
 
 def confident_entities(spark, sf_dir):

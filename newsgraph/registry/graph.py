@@ -13,7 +13,7 @@ from newsgraph.plans import articles as plan
 from newsgraph.registry import found as fd
 from newsgraph.registry import oracle as o
 from newsgraph.registry.inputs import articles, catalogue, gazetteer, longs, table
-from newsgraph.scratch import fresh_path
+from newsgraph.scratch import fresh_path, materialise
 from newsgraph.streaming import kb as stream
 
 
@@ -54,14 +54,19 @@ def confident_relations(spark, sf_dir):
     return longs(rl.confident(rl.relations_of_text(articles(spark, sf_dir))))
 
 
-def kept_relations(spark, sf_dir):
-    """Confident relations of the articles with a linked entity."""
+def _kept(spark, sf_dir):
     rows = rl.confident(rl.relations_of_text(articles(spark, sf_dir)))
     return rl.of_linked_articles(rows, fd.linked(spark, sf_dir))
 
 
+@lru_cache(maxsize=8)
+def kept_relations(spark, sf_dir):
+    """Confident relations of the articles with a linked entity, staged once per session."""
+    return materialise(_kept(spark, sf_dir), "relations")
+
+
 def linked_article_relations(spark, sf_dir):
-    return longs(kept_relations(spark, sf_dir))
+    return longs(_kept(spark, sf_dir))
 
 
 def plain_relations(spark, sf_dir):

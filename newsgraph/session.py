@@ -14,6 +14,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # recording a Python call site for every column makes building large expressions several times slower
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 
