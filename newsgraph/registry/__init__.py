@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.registry import found, graph, tables, texts
+from newsgraph.registry import files, found, graph, tables, texts
 
-MODULES = [texts, found, graph, tables]
+MODULES = [files, texts, found, graph, tables]
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

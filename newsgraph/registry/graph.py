@@ -177,7 +177,8 @@ def streamed_entities(spark, sf_dir):
             F.col("doc_id").alias("article_id"), F.col("doc_id").alias("ord"),
             F.concat_ws("/", "source", F.col("doc_id").cast("string")).alias("url"), "text",
         )
-        linked = plan.linking.link_mentions(mn.all_mentions(docs, dictionary), candidates)
+        mentions = materialise(mn.all_mentions(docs, dictionary), "batch-mentions")
+        linked = materialise(plan.linking.link_mentions(mentions, candidates), "batch-linked")
         triples = rl.of_linked_articles(rl.confident(rl.relations_of_text(docs)), linked)
         return kb.with_arrival(linked, docs), kb.with_arrival(triples, docs)
 
