@@ -34,7 +34,7 @@ def read_unnumbered_articles(spark, sf_dir):
     path = fresh_path(spark, "articles") + ".json"
     sk.write_table(_excel_like(spark, sf_dir).drop("article_id"), path, "json")
     rows = rd.read_articles(spark, path, schema="Text string, Link string")
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.size(F.collect_set("article_id")).cast("long").alias("ids"))
+    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("article_id").alias("ids"))
 
 
 def read_sentences(spark, sf_dir):
