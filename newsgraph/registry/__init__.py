@@ -17,3 +17,9 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def all_sql() -> dict[str, str]:
     return {name: entry[1] for module in MODULES for name, entry in module.QUERIES.items() if entry[1]}
+
+
+def forget_staged() -> None:
+    """Drop the session's memory of staged tables, so that the next query computes its inputs again."""
+    for staged in (found.found, found.linked, graph.kept_relations, graph._run):
+        staged.cache_clear()
