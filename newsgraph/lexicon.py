@@ -115,10 +115,13 @@ DATE_PATTERN = (
 )
 TIME_PATTERN = r"\p{Nd}{1,2}:\p{Nd}{2}(?::\p{Nd}{2})?(?: ?[AaPp][Mm])?|\p{Nd}{1,2} ?[AaPp][Mm]"
 QUANTITY_PATTERN = rf"{NUMBER} ?{UNIT}"
-ORDINAL_PATTERN = r"\p{Nd}+(?:st|nd|rd|th)|(?i:first|second|third|fourth|fifth|sixth|seventh|eighth|ninth|tenth)"
-CARDINAL_PATTERN = (
-    rf"{NUMBER}|(?i:one|two|three|four|five|six|seven|eight|nine|ten|eleven|twelve|hundred|thousand|million|billion)"
-)
+ORDINAL_WORDS = "first second third fourth fifth sixth seventh eighth ninth tenth".split()
+CARDINAL_WORDS = (
+    "one two three four five six seven eight nine ten eleven twelve hundred thousand million billion"
+).split()
+NUMBER_WORDS = ORDINAL_WORDS + CARDINAL_WORDS
+ORDINAL_PATTERN = rf"\p{{Nd}}+(?:st|nd|rd|th)|(?i:{'|'.join(ORDINAL_WORDS)})"
+CARDINAL_PATTERN = rf"{NUMBER}|(?i:{'|'.join(CARDINAL_WORDS)})"
 # priority order; a piece takes the first type whose pattern matches the whole piece
 ATTRIBUTE_PATTERNS = [
     ("MONEY", MONEY_PATTERN),

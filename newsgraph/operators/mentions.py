@@ -7,6 +7,7 @@ pieces found in a dictionary `gazetteer(term, label)` of lower-case terms.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,35 +36,58 @@ def attribute_label(piece: Column) -> Column:
 _ANY_ATTRIBUTE = "^(?:" + "|".join(pattern for _, pattern in lx.ATTRIBUTE_PATTERNS) + ")$"
 
 
+def _may_be_attribute(piece: Column) -> Column:
+    """Cheap necessary condition: a digit, currency sign or capital at the start, or a number word."""
+    return piece.rlike(r"^[\p{Nd}$€£¥\p{Lu}]") | F.lower(piece).isin(lx.NUMBER_WORDS)
+
+
 def attribute_mentions(articles: DataFrame, text: str = "text") -> DataFrame:
     """(article_id, pos, words, text, label) of the attribute types, in text order. No shuffle."""
     found = articles.select("article_id", F.posexplode(pieces(F.col(text))).alias("pos", "text"))
     return (
-        found.where(F.col("text").rlike(_ANY_ATTRIBUTE))
+        found.where(_may_be_attribute(F.col("text")) & F.col("text").rlike(_ANY_ATTRIBUTE))
         .select("article_id", "pos", F.lit(1).alias("words"), "text", attribute_label(F.col("text")).alias("label"))
     )
 
 
+def _word_run(run: Column) -> Column:
+    """The leading pieces of a run that are words."""
+    stop = F.array_position(F.transform(run, lambda p: ~p.rlike(rf"^[{lx.WORD}]+$")), True).cast("int")
+    return F.when(stop == 0, run).otherwise(F.slice(run, F.lit(1), stop - 1))
+
+
+def _starts(articles: DataFrame, text: str, begins: Callable[[Column], Column]) -> DataFrame:
+    """(article_id, pos, run): every piece that `begins`, with up to two pieces after it. One scan of the text."""
+    cut = articles.select("article_id", pieces(F.col(text)).alias("_pieces"))
+    # Runs are cut before the array is exploded: a row must not carry the pieces of its whole article.
+    runs = F.transform("_pieces", lambda p, i: F.struct(i.alias("pos"), F.slice("_pieces", i + 1, MAX_WORDS).alias("run")))
+    wanted = F.filter(runs, lambda r: begins(F.get(r["run"], F.lit(0))))
+    return cut.select("article_id", F.explode(wanted).alias("s")).select("article_id", "s.pos", "s.run")
+
+
+def _grams(run: Column) -> Column:
+    """Every leading part of a run of words as struct<words, text, term, label>."""
+    def gram(n: Column) -> Column:
+        text = F.array_join(F.slice(run, F.lit(1), n), " ")
+        return F.struct(n.alias("words"), text.alias("text"), F.lower(text).alias("term"), F.lit(None).cast("string").alias("label"))
+
+    return F.transform(F.sequence(F.lit(1), F.size(run)), gram)
+
+
+def _first_letter(capitalised: bool) -> str:
+    return r"^\p{Lu}" if capitalised else rf"^[{lx.WORD}]"
+
+
 def ngrams(articles: DataFrame, text: str = "text", capitalised: bool = True) -> DataFrame:
     """(article_id, pos, words, text, term) for every run of up to three word pieces. No shuffle.
 
     With `capitalised` a run must start with an upper-case letter, as names do.
     """
-    is_word = rf"^[{lx.WORD}]+$"
-    cut = articles.select("article_id", pieces(F.col(text)).alias("_pieces"))
-    # Runs are cut before the array is exploded: a row must not carry the pieces of its whole article.
-    runs = F.transform("_pieces", lambda p, i: F.struct(i.alias("pos"), F.slice("_pieces", i + 1, MAX_WORDS).alias("run")))
-    begins = r"^\p{Lu}" if capitalised else rf"^[{lx.WORD}]"
-    wanted = F.filter(runs, lambda r: F.get(r["run"], F.lit(0)).rlike(begins))
-    starts = cut.select("article_id", F.explode(wanted).alias("s")).select("article_id", "s.pos", F.col("s.run").alias("_run"))
-    # The run ends before its first piece that is no word.
-    stop = F.array_position(F.transform("_run", lambda p: ~p.rlike(is_word)), True)
-    starts = starts.withColumn("_run", F.when(stop == 0, F.col("_run")).otherwise(F.slice("_run", 1, (stop - 1).cast("int"))))
-    grams = starts.select(
-        "article_id", "pos", "_run", F.explode(F.sequence(F.lit(1), F.size("_run"))).alias("words")
-    ).where(F.size("_run") > 0)
-    grams = grams.select("article_id", "pos", "words", F.array_join(F.slice("_run", F.lit(1), F.col("words")), " ").alias("text"))
-    return grams.withColumn("term", F.lower("text"))
+    starts = _starts(articles, text, lambda p: p.rlike(_first_letter(capitalised))).withColumn("run", _word_run(F.col("run")))
+    starts = starts.where(F.size("run") > 0)
+    return starts.select("article_id", "pos", F.explode(_grams(F.col("run"))).alias("g")).select(
+        "article_id", "pos", "g.words", "g.text", "g.term"
+    )
 
 
 def dictionary_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capitalised: bool = True) -> DataFrame:
@@ -73,6 +97,31 @@ def dictionary_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text
     return grams.join(broadcast_if_small(entries), "term").select("article_id", "pos", "words", "text", "label")
 
 
+def all_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capitalised: bool = True) -> DataFrame:
+    """Dictionary terms and attribute mentions together, overlapping ones included, from one scan of the text."""
+    starts = _starts(articles, text, lambda p: p.rlike(_first_letter(capitalised)) | _may_be_attribute(p))
+    starts = starts.withColumn("first", F.get("run", F.lit(0)))
+    is_start = F.col("first").rlike(_first_letter(capitalised))
+    starts = starts.select(
+        "article_id", "pos", F.when(F.col("first").rlike(_ANY_ATTRIBUTE), F.col("first")).alias("attribute"),
+        F.when(is_start, _word_run(F.col("run"))).otherwise(F.slice("run", 1, 0)).alias("run"),
+    )
+    # The term of an attribute cannot be in a dictionary; it differs by text so that a shuffle join spreads such rows.
+    attribute = F.struct(
+        F.lit(1).alias("words"), F.col("attribute").alias("text"), F.concat(F.lit("\u0000"), "attribute").alias("term"),
+        attribute_label(F.col("attribute")).alias("label"),
+    )
+    none = F.array().cast("array<struct<words:int,text:string,term:string,label:string>>")
+    candidates = F.concat(
+        F.when(F.col("attribute").isNotNull(), F.array(attribute)).otherwise(none),
+        F.when(F.size("run") > 0, _grams(F.col("run"))).otherwise(none),
+    )
+    rows = starts.select("article_id", "pos", F.explode(candidates).alias("c")).select("article_id", "pos", "c.*")
+    entries = gazetteer.select("term", F.col("label").alias("_entry"))
+    joined = rows.join(broadcast_if_small(entries), "term", "left")
+    return joined.select("article_id", "pos", "words", "text", F.coalesce("label", "_entry").alias("label")).where("label is not null")
+
+
 def without_overlaps(hits: DataFrame) -> DataFrame:
     """Keep a hit if no overlapping hit is longer, or equally long and further left.
 
@@ -106,12 +155,9 @@ def entity_mentions(articles: DataFrame, gazetteer: DataFrame, text: str = "text
 
 def all_mentions(articles: DataFrame, gazetteer: DataFrame | None = None, text: str = "text", capitalised: bool = True) -> DataFrame:
     """(article_id, pos, text, label), both kinds. A piece with an attribute label at an entity's place gives way."""
-    columns = ["article_id", "pos", "words", "text", "label"]
-    attributes = attribute_mentions(articles, text)
     if gazetteer is None:
-        return attributes.select("article_id", "pos", "text", "label")
-    hits = dictionary_hits(articles, gazetteer, text, capitalised).select(columns).union(attributes.select(columns))
-    return without_overlaps(hits).select("article_id", "pos", "text", "label")
+        return attribute_mentions(articles, text).select("article_id", "pos", "text", "label")
+    return without_overlaps(all_hits(articles, gazetteer, text, capitalised)).select("article_id", "pos", "text", "label")
 
 
 def mention_lists(articles: DataFrame, mentions: DataFrame) -> DataFrame:

@@ -109,8 +109,7 @@ def sentence_ranking(spark, sf_dir):
 
 def best_sentence(spark, sf_dir):
     rows = articles(spark, sf_dir)
-    best = rows.select("article_id", sm.best_sentence(F.col("text")).alias("sentence"))
-    return best.where(F.col("sentence").isNotNull())
+    return rows.select("article_id", F.coalesce(sm.best_sentence(F.col("text")), F.lit("")).alias("sentence"))
 
 
 def summaries(spark, sf_dir):
@@ -176,7 +175,9 @@ QUERIES = {
     "txt14_comma_list": (comma_lists, _doc_sql(f"array_to_string({o.sentences_of('text')}, ',')")),
     "sum1_sentence_scores": (sentence_ranking, o.sql(
         "SELECT article_id, sent, round(score, 6) AS score FROM sentence_scores")),
-    "sum1_best_sentence": (best_sentence, o.sql("SELECT article_id, sentence FROM best_sentences")),
+    "sum1_best_sentence": (best_sentence, o.sql("""
+        SELECT a.article_id, coalesce(b.sentence, '') AS sentence
+        FROM articles a LEFT JOIN best_sentences b ON b.article_id = a.article_id""")),
     "sum2_summary_or_text": (summaries, o.sql("""
         SELECT article_id, coalesce(best, original, '') AS summary FROM turn_best""")),
     "pip4_prepared_articles": (prepared_articles, o.sql(f"""
