@@ -39,9 +39,21 @@ def _best_first() -> list[Column]:
     return [F.desc_nulls_last("score"), F.asc_nulls_last("item"), F.asc("label")]
 
 
-def candidates_for(mentions: DataFrame, catalogue: DataFrame) -> DataFrame:
-    """(text, label, item, score): all candidates of every distinct mention text."""
-    return distinct_texts(mentions).join(_candidates(catalogue), "key").select("text", "label", "item", "score")
+def _with_candidate_counts(texts: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Rows of `texts` whose key has candidates, with their number `_candidates`; staged, as salted joins read it twice."""
+    counts = candidates.groupBy("key").agg(F.count(F.lit(1)).alias("_candidates"))
+    return materialise(texts.join(counts, "key"), "mentioned-keys")
+
+
+def candidates_for(mentions: DataFrame, catalogue: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(text, label, item, score): all candidates of every distinct mention text.
+
+    A label with very many candidates is spread over several join tasks.
+    """
+    found = _candidates(catalogue)
+    texts = _with_candidate_counts(distinct_texts(mentions), found)
+    joined = lookup_join(found, texts, "key", "_candidates", ["item", "label"], hot_rows=hot_rows)
+    return joined.select("text", "label", "item", "score")
 
 
 def top_candidates(mentions: DataFrame, catalogue: DataFrame, limit: int = lx.TOP_CANDIDATES) -> DataFrame:
@@ -55,15 +67,18 @@ def top_candidates(mentions: DataFrame, catalogue: DataFrame, limit: int = lx.TO
     return distinct_texts(mentions).join(best, "key").select("text", "rank", "label", "item", "score")
 
 
-def ordered_candidates(mentions: DataFrame, catalogue: DataFrame) -> DataFrame:
+def ordered_candidates(mentions: DataFrame, catalogue: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """(text, rank, label, item, score): all candidates, best first, one row each.
 
-    Only labels that are mentioned are ranked; a label with very many candidates is ranked by several tasks.
+    Only labels that are mentioned are ranked; a label with very many candidates is joined and ranked by several tasks.
     """
-    present = distinct_texts(mentions)
-    wanted = _candidates(catalogue).join(present.select("key").distinct(), "key", "left_semi")
+    found = _candidates(catalogue)
+    texts = _with_candidate_counts(distinct_texts(mentions), found)
+    keys = texts.select("key", "_candidates").distinct()
+    wanted = lookup_join(found, keys, "key", "_candidates", ["item", "label"], hot_rows=hot_rows).drop("_candidates")
     ranked = range_rank(wanted, ["key"], _best_first())
-    return present.join(ranked, "key").select("text", "rank", "label", "item", "score")
+    joined = lookup_join(ranked, texts, "key", "_candidates", ["item", "label"], hot_rows=hot_rows)
+    return joined.select("text", "rank", "label", "item", "score")
 
 
 def best_candidates(catalogue: DataFrame) -> DataFrame:
@@ -150,17 +165,23 @@ def fuzzy_candidates(mentions: DataFrame, catalogue: DataFrame, threshold: float
     text_grams = texts.select("text", trigrams(F.col("text")).alias("grams"))
     label_grams = labels.select("label", trigrams(F.col("label")).alias("grams"))
     # Any fixed order of trigrams is exact; the order by label frequency keeps the blocks small.
-    frequency = label_grams.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("n"))
+    occurrences = text_grams.select(F.explode("grams").alias("gram"), F.lit(1).alias("t"), F.lit(0).alias("l")).union(
+        label_grams.select(F.explode("grams").alias("gram"), F.lit(0).alias("t"), F.lit(1).alias("l"))
+    )
+    frequency = materialise(
+        occurrences.groupBy("gram").agg(F.sum("t").alias("n_texts"), F.sum("l").alias("n")), "trigram-frequency"
+    )
 
-    def prefixes(side: DataFrame, name: str) -> DataFrame:
+    def prefixes(side: DataFrame, name: str, own: str) -> DataFrame:
         rows = side.select(name, "grams", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-        rows = rows.join(frequency, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+        rows = lookup_join(rows, frequency, "gram", own, [name])
         order = Window.partitionBy(name).orderBy("n", "gram")
         keep = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - F.lit(1e-9)) + 1
-        return rows.withColumn("_rn", F.row_number().over(order)).where(F.col("_rn") <= keep).drop("_rn")
+        rows = rows.withColumn("_rn", F.row_number().over(order)).where((F.col("_rn") <= keep) & (F.col("n") > 0))
+        return materialise(rows.select(name, "grams", "size", "gram"), "trigram-prefixes")
 
-    left = prefixes(text_grams, "text").where("n > 0")
-    right = prefixes(label_grams, "label").select(
+    left = prefixes(text_grams, "text", "n_texts")
+    right = prefixes(label_grams, "label", "n").select(
         "label", F.col("grams").alias("label_grams"), F.col("size").alias("label_size"), "gram"
     )
     # Split both sides of a hot block into parts; each part of one side meets every part of the other.

@@ -6,11 +6,12 @@ into even buckets: ranks come from bucket counts, and no task ever sorts a whole
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from newsgraph import lexicon as lx
-from newsgraph.operators.scale import bucketed_rank
+from newsgraph.operators.scale import HOT_ROWS, bucketed_rank, lookup_join, range_rank
+from newsgraph.scratch import materialise
 
 BUCKET_DIGITS = 4
 
@@ -23,14 +24,17 @@ def class_counts(triples: DataFrame, label: str = "predicate") -> DataFrame:
     return triples.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
 
 
-def drop_rare_classes(triples: DataFrame, label: str = "predicate", at_least: int = 2) -> DataFrame:
+def drop_rare_classes(triples: DataFrame, label: str = "predicate", at_least: int = 2, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Rows of classes with at least `at_least` rows.
 
-    The rare classes are counted first and removed by an anti join; a window per class would put the largest class
-    into one task. A null class is counted like any other.
+    A window per class would put the largest class into one task; here the counts are joined back, and the rows of a
+    large class are salted over several tasks. A null class is counted like any other.
     """
-    rare = class_counts(triples, label).where(F.col("n") < at_least).select(F.col(label).alias("_rare"))
-    return triples.join(rare, F.col(label).eqNullSafe(F.col("_rare")), "left_anti")
+    keyed = triples.withColumn("_class", F.coalesce(F.col(label), F.lit("\u0000")))
+    kept = class_counts(keyed, "_class").where(F.col("n") >= at_least).withColumnRenamed("n", "_class_rows")
+    kept = materialise(kept, "class-counts")
+    joined = lookup_join(keyed, kept, "_class", "_class_rows", triples.columns, hot_rows=hot_rows)
+    return joined.select(triples.columns)
 
 
 def require_rows(df: DataFrame, message: str = "no rows left after filtering") -> DataFrame:
@@ -97,10 +101,10 @@ def sample_fraction(rows: DataFrame, identity: str = "id", fraction: float = 0.0
 def label_codes(train: DataFrame, label: str = "predicate") -> DataFrame:
     """(label, code): alphabetical codes from 0, fitted on the training rows.
 
-    Ranks are taken inside two-character prefixes of the distinct labels and shifted by the counts before them.
+    The distinct labels are ranked by range partitions, so their number is not bound to one task.
     """
     distinct = train.select(label).distinct().where(F.col(label).isNotNull())
-    ranked = bucketed_rank(distinct, [F.col(label)], F.substring(label, 1, 2), [], "_rank")
+    ranked = range_rank(distinct, [], [F.col(label)], "_rank")
     return ranked.select(label, (F.col("_rank") - 1).cast("int").alias("code"))
 
 

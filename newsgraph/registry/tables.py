@@ -13,6 +13,7 @@ from newsgraph.operators import splits as sp
 from newsgraph.operators import svd as sv
 from newsgraph.operators import tfidf as ti
 from newsgraph.plans import triples as plan
+from newsgraph.plans.articles import article_features
 from newsgraph.registry import found as fd
 from newsgraph.registry import oracle as o
 from newsgraph.registry.inputs import articles, labelled_events, longs, table, vectors
@@ -78,10 +79,7 @@ def embedding_features(spark, sf_dir):
 
 def feature_table(spark, sf_dir):
     docs = articles(spark, sf_dir)
-    rows = ft.combine_features(
-        docs, ft.entity_features(docs, fd.found(spark, sf_dir)), ft.statistical_features(docs),
-        ft.embedding_features(vectors(spark, sf_dir)),
-    )
+    rows = article_features(docs, fd.found(spark, sf_dir), vectors(spark, sf_dir), "text", None, True)
     return _six(rows, "entity_density", "person_ratio", "org_ratio", *_RATIOS, "embedding_mean", "embedding_std", "embedding_norm")
 
 

@@ -44,12 +44,15 @@ def require_columns(df: DataFrame, required: Iterable[str]) -> DataFrame:
     return df
 
 
-def _load(spark: SparkSession, path: str, fmt: str | None, schema: T.StructType | str | None) -> DataFrame:
+def _load(
+    spark: SparkSession, path: str, fmt: str | None, schema: T.StructType | str | None, multiline: bool = True
+) -> DataFrame:
     fmt = fmt or format_of(path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if fmt in ("csv", "tsv"):
-        # quotes are doubled and fields may span lines, as spreadsheet exports have it
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"').option("sep", "\t" if fmt == "tsv" else ",")
+        # Quotes are doubled and fields may span lines, as spreadsheet exports have it. Such a file is read by one task:
+        # for large files without line breaks in fields pass multiline=False, or use parquet.
+        reader = reader.option("header", True).option("multiLine", multiline).option("escape", '"').option("sep", "\t" if fmt == "tsv" else ",")
         return reader.csv(path)
     if fmt not in ("json", "parquet", "orc"):
         raise ValueError(f"unsupported table format: {fmt}")
@@ -64,13 +67,14 @@ def read_articles(
     link: str = "Link",
     identity: str | None = None,
     schema: T.StructType | str | None = None,
+    multiline: bool = True,
 ) -> DataFrame:
     """(article_id, ord, url, text) with null texts as ''.
 
     `identity` names a BIGINT column that numbers the articles. Without one, rows are numbered in reading order and
     written to the shared folder once, because such numbers would change between two runs of the same plan.
     """
-    table = require_columns(_load(spark, path, fmt, schema), [text, link])
+    table = require_columns(_load(spark, path, fmt, schema, multiline), [text, link])
     fields = [F.col(link).cast("string").alias("url"), tx.filled(F.col(text)).alias("text")]
     if identity:
         require_columns(table, [identity])

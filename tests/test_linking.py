@@ -40,10 +40,13 @@ def test_threshold_is_inclusive(mentions, catalogue):
     assert ln.link_mentions(mentions, catalogue, threshold=0.4).where("text = 'Rome'").count() == 1
 
 
-def test_ranking_and_misses(mentions, catalogue, rows):
+@pytest.mark.parametrize("hot_rows", [10_000_000, 1])
+def test_ranking_and_misses(mentions, catalogue, rows, hot_rows):
     top = rows(ln.top_candidates(mentions, catalogue, 2).where("text = 'Paris'"), "rank", "item")
     assert top == [(1, "Q1"), (2, "Q2")]
-    full = rows(ln.ordered_candidates(mentions, catalogue).where("text = 'Paris'"), "rank", "item")
+    full = rows(ln.ordered_candidates(mentions, catalogue, hot_rows).where("text = 'Paris'"), "rank", "item")
+    pairs = rows(ln.candidates_for(mentions, catalogue, hot_rows).where("text = 'paris'"), "item")
+    assert pairs == [("Q1",), ("Q2",), ("Q3",)]
     assert full == [(1, "Q1"), (2, "Q2"), (3, "Q3")]
     assert rows(ln.unlinked_texts(mentions, catalogue)) == [("Nowhere", 1)]
 

@@ -39,7 +39,8 @@ def test_fallback_to_random_split(spark):
 
 def test_null_class_and_rare_classes(spark):
     frame = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, None), (5, None)], "id long, predicate string")
-    assert sorted(r["id"] for r in sp.drop_rare_classes(frame).collect()) == [1, 2, 4, 5]
+    for hot_rows in (1, 10**7):
+        assert sorted(r["id"] for r in sp.drop_rare_classes(frame, hot_rows=hot_rows).collect()) == [1, 2, 4, 5]
 
 
 def test_nothing_left_is_an_error(spark):
