@@ -10,7 +10,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import bpe, token_counts
+from newsgraph.llm import bpe, mixing, quality, sql, token_counts, warc
+
+MIX_SEED = 17
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,6 +25,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), *ready)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all documents by rules learned from all labels."""
+    return quality.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents against a limit of 512."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
@@ -30,7 +37,20 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.budget(_table(spark, sf_dir, "documents"), tokenizer, limit=512)
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as archives without repeated payloads, and read back."""
+    return warc.deduplicated(_table(spark, sf_dir, "pages"))
+
+
+def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents repeated so that every source gets the same expected share, shuffled."""
+    return mixing.mix(_table(spark, sf_dir, "documents"), seed=MIX_SEED)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_byte_bpe": (op2_byte_bpe, None),
+    "op5_quality_rules": (op5_quality_rules, None),
     "op7_token_counts": (op7_token_counts, None),
+    "op8_warc": (op8_warc, sql.WARC),
+    "op9_poisson_mix": (op9_poisson_mix, sql.poisson_mix(MIX_SEED)),
 }
