@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import bpe, mixing, quality, sql, token_counts, warc
+from newsgraph.llm import bpe, mixing, quality, simhash, sql, token_counts, warc
 
 MIX_SEED = 17
 
@@ -47,10 +47,16 @@ def op9_poisson_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"), seed=MIX_SEED)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of all documents whose fingerprints of 3-word shingles link at 2 bits or fewer."""
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, distance=2)
+
+
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op5_quality_rules": (op5_quality_rules, None),
     "op7_token_counts": (op7_token_counts, None),
     "op8_warc": (op8_warc, sql.WARC),
     "op9_poisson_mix": (op9_poisson_mix, sql.poisson_mix(MIX_SEED)),
+    "op10_simhash": (op10_simhash, None),
 }
