@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import bpe, mixing, quality, simhash, sql, token_counts, warc
+from newsgraph.llm import bpe, mixing, quality, simhash, sql, substring, token_counts, warc
 
 MIX_SEED = 17
 
@@ -30,6 +30,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of all documents without the 13-word windows that earlier documents have."""
+    return substring.removals(_table(spark, sf_dir, "documents"))
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all documents against a limit of 512."""
     with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as file:
@@ -55,6 +60,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op5_quality_rules": (op5_quality_rules, None),
+    "op6_substring": (op6_substring, sql.SUBSTRING),
     "op7_token_counts": (op7_token_counts, None),
     "op8_warc": (op8_warc, sql.WARC),
     "op9_poisson_mix": (op9_poisson_mix, sql.poisson_mix(MIX_SEED)),

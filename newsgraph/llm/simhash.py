@@ -129,6 +129,8 @@ def plan_search(sample: np.ndarray, total: int, distance: int) -> Plan:
     best: tuple[float, Plan] | None = None
     for count in range(1, min(8, distance + 3) + 1):
         partitions, costs = correlated_partitions(bits, count), []
+        whole = bits.sum(axis=1)
+        apart_in_all = whole[:, None] + whole[None, :] - 2 * bits @ bits.T
         for chosen in partitions:
             part = bits[:, list(chosen)]
             norms = part.sum(axis=1)
@@ -137,7 +139,7 @@ def plan_search(sample: np.ndarray, total: int, distance: int) -> Plan:
             options, expected = [0.0], _independent(part.mean(axis=0))
             for t in range(0, min(distance, 2) + 1):
                 # below what the sample can show, bits count as independent, so that no partition ever looks free
-                share = max(((apart <= t + 0.5).sum() - len(bits)) / pairs, expected[: t + 1].sum())
+                share = max(((apart <= t + 0.5) & (apart_in_all > distance + 0.5)).sum() / pairs, expected[: t + 1].sum())
                 options.append(PROBE_COST * total * _ball(len(chosen), t) + share * float(total) * total / 2)
             costs.append(options)
         cost, thresholds = allocate(costs, distance - count + 1)

@@ -24,3 +24,17 @@ counted AS (SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, count(c.k) AS
             GROUP BY d.doc_id, d.text, d.lang, d.source, d.n_chars)
 SELECT doc_id, text, lang, source, n_chars, unnest(range(1, copies + 1))::INTEGER AS copy FROM counted
 """
+
+
+SUBSTRING = """
+WITH words AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+wins AS (SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS win FROM words, unnest(range(1, len(w) - 11)) t(i)),
+low AS (SELECT win, min(doc_id) AS low FROM wins GROUP BY win),
+bad AS (SELECT doc_id, list(i) AS places FROM wins JOIN low USING (win) WHERE low < doc_id GROUP BY doc_id),
+gone AS (SELECT doc_id, list_distinct(flatten([range(a, a + 13) for a in places])) AS gone FROM bad),
+cut AS (SELECT doc_id, w, coalesce(gone, []) AS gone FROM words LEFT JOIN gone USING (doc_id))
+SELECT doc_id, len(w) AS n_words, len(gone) AS n_removed,
+       sha256(CASE WHEN len(gone) = 0 THEN array_to_string(w, ' ')
+              ELSE array_to_string([w[j] for j in range(1, len(w) + 1) if NOT list_contains(gone, j)], ' ') END) AS kept_sha256
+FROM cut
+"""
