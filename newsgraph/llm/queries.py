@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import bpe, mixing, quality, simhash, sql, substring, token_counts, warc
+from newsgraph.llm import bpe, langid, mixing, quality, simhash, sql, substring, token_counts, warc
 
 MIX_SEED = 17
 
@@ -25,6 +25,11 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(_table(spark, sf_dir, "documents"), *ready)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents by models of those that are not held out."""
+    return langid.languages(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all documents by rules learned from all labels."""
     return quality.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -59,6 +64,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
     "op2_byte_bpe": (op2_byte_bpe, None),
+    "op3_language_id": (op3_language_id, None),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_substring": (op6_substring, sql.SUBSTRING),
     "op7_token_counts": (op7_token_counts, None),
