@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import bpe, langid, mixing, quality, simhash, sql, substring, token_counts, warc
+from newsgraph.llm import bpe, covertree, langid, mixing, quality, simhash, sql, substring, token_counts, toxicity, warc
 
 MIX_SEED = 17
 
@@ -19,6 +19,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9."""
+    return covertree.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Byte-level BPE of all documents, decoded again."""
     ready = bpe.model_and_spec(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -30,6 +35,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.languages(_table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents by models of the labels that are not held out."""
+    return toxicity.scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on all documents by rules learned from all labels."""
     return quality.verdicts(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
@@ -63,8 +73,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {
+    "op1_cover_tree": (op1_cover_tree, sql.COVER_TREE),
     "op2_byte_bpe": (op2_byte_bpe, None),
     "op3_language_id": (op3_language_id, None),
+    "op4_toxicity": (op4_toxicity, None),
     "op5_quality_rules": (op5_quality_rules, None),
     "op6_substring": (op6_substring, sql.SUBSTRING),
     "op7_token_counts": (op7_token_counts, None),

@@ -38,3 +38,18 @@ SELECT doc_id, len(w) AS n_words, len(gone) AS n_removed,
               ELSE array_to_string([w[j] for j in range(1, len(w) + 1) if NOT list_contains(gone, j)], ' ') END) AS kept_sha256
 FROM cut
 """
+
+COVER_TREE = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+         WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reached AS (SELECT a, b FROM link UNION SELECT r.a, l.b FROM reached r JOIN link l ON r.b = l.a),
+found AS (SELECT a, min(b) AS low FROM reached GROUP BY a),
+degree AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT e.vec_id, coalesce(d.n, 0) AS n_links, least(e.vec_id, coalesce(f.low, e.vec_id)) AS component_id,
+       e.vec_id <= coalesce(f.low, e.vec_id) AS kept
+FROM embeddings e LEFT JOIN found f ON f.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
