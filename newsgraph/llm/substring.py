@@ -25,8 +25,10 @@ from newsgraph.llm.batches import fresh_name, slices
 # Fixed by the contract.
 WINDOW = 13
 GRAM = 4
-# A bucket with more runs than this is settled window by window instead of in one task.
+# A bucket that more documents reach than this is settled by classes of equal runs instead of in one task.
 BUCKET_ROWS = 4_096
+# Buckets are named by so many bits of the hash: enough for the largest corpus, and fewer bytes to shuffle.
+MINI_MASK = np.int64((1 << 48) - 1)
 # Words are hashed in segments of about so many bytes; a longer single word is hashed on its own.
 SEGMENT = 1 << 20
 
@@ -112,56 +114,67 @@ def super_kmers(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, n
     real = inside[first]
     first, length = first[real], length[real]
     word_base = np.searchsorted(owner, np.arange(len(texts)), side="left")
-    return owner[first], first - word_base[owner[first]], length, least[first].view(np.int64)
+    return owner[first], first - word_base[owner[first]], length, least[first].view(np.int64) & MINI_MASK
 
 
-def _runs(docs: DataFrame) -> DataFrame:
-    """mini, doc_id, tag, start, n of every super-k-mer."""
+def _minimisers(docs: DataFrame) -> DataFrame:
+    """mini, doc_id, tag: the distinct minimisers of every row; rows with a null text have none."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                owner, first, length, mini = super_kmers(part.column(2).to_pylist())
+                owner, _, _, mini = super_kmers([t or "" for t in part.column(2).to_pylist()])
+                order = np.lexsort((mini, owner))
+                owner, mini = owner[order], mini[order]
+                new = np.ones(len(mini), dtype=bool)
+                new[1:] = (owner[1:] != owner[:-1]) | (mini[1:] != mini[:-1])
+                taken = pa.array(owner[new])
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mini), part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)),
-                     pa.array(first, pa.int32()), pa.array(length, pa.int16())],
-                    names=["mini", "doc_id", "tag", "start", "n"],
-                )
+                    [pa.array(mini[new]), part.column(0).take(taken), part.column(1).take(taken)], names=["mini", "doc_id", "tag"]
+                )
 
-    schema = T.StructType([
-        T.StructField("mini", T.LongType()), docs.schema["doc_id"], T.StructField("tag", T.IntegerType()),
-        T.StructField("start", T.IntegerType()), T.StructField("n", T.ShortType()),
-    ])
-    return docs.select("doc_id", "tag", "text").mapInArrow(run, schema)
+    rest = [c for c in docs.columns if c not in ("doc_id", "tag", "text")]
+    schema = T.StructType([T.StructField("mini", T.LongType()), docs.schema["doc_id"], T.StructField("tag", T.IntegerType())])
+    return docs.select("doc_id", "tag", "text", *rest).mapInArrow(run, schema)
 
 
 def _packed(joined: DataFrame) -> DataFrame:
-    """mini, doc_id, tag, start, words: the text of every listed run, its words joined by one space."""
+    """mini, doc_id, tag, starts, words: every distinct run of a row with a listed minimiser, packed, and where it stands."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                rows, mini, start, words = [], [], [], []
-                for row, (text, runs) in enumerate(zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True)):
-                    tokens = text.encode().split() if runs else []
-                    for r in runs or ():
+                rows, minis, starts, packed = [], [], [], []
+                texts = [t or "" for t in part.column(2).to_pylist()]
+                listed = part.column(3)
+                owner, first, length, mini = super_kmers(texts)
+                ends = np.searchsorted(owner, np.arange(len(texts) + 1))
+                for row, text in enumerate(texts):
+                    if not text or not listed[row].is_valid:
+                        continue
+                    own = slice(ends[row], ends[row + 1])
+                    chosen = np.flatnonzero(np.isin(mini[own], listed[row].values.to_numpy()))
+                    tokens, places = text.encode().split(), {}
+                    for run_mini, at, windows in zip(*[column[own][chosen].tolist() for column in (mini, first, length)], strict=True):
+                        places.setdefault((run_mini, b" ".join(tokens[at : at + windows + WINDOW - 1])), []).append(at)
+                    for (run_mini, words), at in places.items():
                         rows.append(row)
-                        mini.append(r["mini"])
-                        start.append(r["start"])
-                        words.append(b" ".join(tokens[r["start"] : r["start"] + r["n"] + WINDOW - 1]))
+                        minis.append(run_mini)
+                        starts.append(at)
+                        packed.append(words)
                 taken = pa.array(rows, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(mini, pa.int64()), part.column(0).take(taken), part.column(1).take(taken),
-                     pa.array(start, pa.int32()), pa.array(words, pa.binary())],
-                    names=["mini", "doc_id", "tag", "start", "words"],
+                    [pa.array(minis, pa.int64()), part.column(0).take(taken), part.column(1).take(taken),
+                     pa.array(starts, pa.list_(pa.int32())), pa.array(packed, pa.binary())],
+                    names=["mini", "doc_id", "tag", "starts", "words"],
                 )
 
     schema = T.StructType([
         T.StructField("mini", T.LongType()), joined.schema["doc_id"], T.StructField("tag", T.IntegerType()),
-        T.StructField("start", T.IntegerType()), T.StructField("words", T.BinaryType()),
+        T.StructField("starts", T.ArrayType(T.IntegerType())), T.StructField("words", T.BinaryType()),
     ])
-    rest = [c for c in joined.columns if c not in ("doc_id", "tag", "text", "runs")]
-    return joined.select("doc_id", "tag", "text", "runs", *rest).mapInArrow(run, schema)
+    rest = [c for c in joined.columns if c not in ("doc_id", "tag", "text", "minis")]
+    return joined.select("doc_id", "tag", "text", "minis", *rest).mapInArrow(run, schema)
 
 
 def _window_bytes(words: bytes) -> Iterator[bytes]:
@@ -186,7 +199,7 @@ def _settled_in_buckets(packed: DataFrame) -> DataFrame:
     """doc_id, tag, begin, end of words that an earlier document has too, bucket by bucket.
 
     Rows come sorted by minimiser and document, so the first to bring a window is its smallest document. What a task holds
-    are the windows of one bucket, at most BUCKET_ROWS runs.
+    are the windows of one bucket, from at most BUCKET_ROWS documents.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,17 +207,17 @@ def _settled_in_buckets(packed: DataFrame) -> DataFrame:
         for batch in batches:
             ids = batch.column(1).to_pylist()
             rows, begins, ends = [], [], []
-            for row, (mini, start, words) in enumerate(
+            for row, (mini, starts, words) in enumerate(
                 zip(batch.column(0).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)
             ):
                 if mini != bucket:
                     bucket, first_doc = mini, {}
                 doc = ids[row]
-                later = [start + i for i, w in enumerate(_window_bytes(words)) if first_doc.setdefault(w, doc) < doc]
+                later = [i for i, w in enumerate(_window_bytes(words)) if first_doc.setdefault(w, doc) < doc]
                 for begin, end in _intervals(later):
-                    rows.append(row)
-                    begins.append(begin)
-                    ends.append(end)
+                    rows += [row] * len(starts)
+                    begins += [start + begin for start in starts]
+                    ends += [start + end for start in starts]
             taken = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1).take(taken), batch.column(2).take(taken), pa.array(begins, pa.int32()), pa.array(ends, pa.int32())],
@@ -219,55 +232,92 @@ def _settled_in_buckets(packed: DataFrame) -> DataFrame:
 
 
 def _settled_by_window(packed: DataFrame) -> DataFrame:
-    """The same for buckets too large to gather: one row per window, grouped by its digest, joined back."""
+    """doc_id, tag, spans: the same for buckets too large to gather.
+
+    Equal runs are one class, reduced before the shuffle to their smallest document. The windows of the classes are
+    grouped by digest, and each class gets the smallest document of each of its windows; every run looks its class up.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, digests, begins = [], [], []
-            for row, (start, words) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True)):
+            rows, digests, places = [], [], []
+            for row, words in enumerate(batch.column(2).to_pylist()):
                 for i, window in enumerate(_window_bytes(words)):
                     rows.append(row)
                     digests.append(hashlib.blake2b(window, digest_size=16).digest())
-                    begins.append(start + i)
+                    places.append(i)
             taken = pa.array(rows, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(digests, pa.binary()), batch.column(1).take(taken), batch.column(2).take(taken), pa.array(begins, pa.int32())],
-                names=["digest", "doc_id", "tag", "begin"],
+                [batch.column(0).take(taken), batch.column(1).take(taken), pa.array(digests, pa.binary()), pa.array(places, pa.int32())],
+                names=["class", "low", "window", "place"],
             )
 
+    ids = packed.schema["doc_id"].dataType
     schema = T.StructType([
-        T.StructField("digest", T.BinaryType()), packed.schema["doc_id"], T.StructField("tag", T.IntegerType()), T.StructField("begin", T.IntegerType()),
+        T.StructField("class", T.BinaryType()), T.StructField("low", ids), T.StructField("window", T.BinaryType()), T.StructField("place", T.IntegerType()),
     ])
-    windows = packed.mapInArrow(run, schema)
-    lowest = windows.groupBy("digest").agg(F.min("doc_id").alias("lowest"), F.max("doc_id").alias("highest")).where("lowest < highest")
-    later = windows.join(lowest.select("digest", "lowest"), "digest").where("doc_id > lowest")
-    return later.select("doc_id", "tag", "begin", (F.col("begin") + WINDOW).alias("end"))
+    runs = packed.withColumn("class", F.unhex(F.md5("words")))
+    classes = runs.groupBy("class").agg(F.min("doc_id").alias("low"), F.max("words").alias("words"))
+    windows = classes.mapInArrow(run, schema)
+    lowest = windows.groupBy("window").agg(F.min("low").alias("lowest"))
+    listed = windows.join(lowest, "window").groupBy("class").agg(F.collect_list(F.struct("place", "lowest")).alias("windows"))
+    met = _split_join(runs.select("class", "doc_id", "tag", "starts"), listed, "class")
+    later = F.filter("windows", lambda w: w["lowest"] < F.col("doc_id"))
+    span = lambda start, w: F.struct((start + w["place"]).alias("begin"), (start + w["place"] + WINDOW).alias("end"))
+    spans = F.flatten(F.transform("starts", lambda start: F.transform(later, lambda w: span(start, w))))
+    return met.select("doc_id", "tag", spans.alias("spans")).where(F.size("spans") > 0)
+
+
+def _split_join(many: DataFrame, grouped: DataFrame, key: str) -> DataFrame:
+    """Join rows to a table grouped by `key` so that a key with very many rows can be split.
+
+    The grouped side is dealt out by `key` already, and joined as it is it would tie each key to one task. Under another
+    name of the key both sides are shuffled for the join, and the optimiser may divide a large partition of the first.
+    """
+    renamed = (lambda c: F.bitwise_not(c)) if isinstance(many.schema[key].dataType, T.LongType) else F.hex
+    left = many.withColumn("_key", renamed(F.col(key)))
+    right = grouped.withColumn("_key", renamed(F.col(key))).drop(key)
+    return left.join(right, "_key").drop("_key")
 
 
-def repeated_words(docs: DataFrame, dealt: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """doc_id, tag, spans (array of begin, end): words of `docs` (doc_id, text, tag) that windows of earlier documents cover.
+def later_copies(docs: DataFrame) -> DataFrame:
+    """doc_id, tag of rows whose whole text a smaller doc_id has too: known by digests alone, combined before the shuffle."""
+    marked = docs.where("doc_id IS NOT NULL").select("doc_id", "tag", F.unhex(F.md5(F.col("text"))).alias("digest"))
+    first = marked.groupBy("digest").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
+    return marked.join(first.select("digest", "low"), "digest").where("doc_id > low").select("doc_id", "tag").distinct()
 
-    `dealt` is `docs` dealt out by doc_id and tag. It is joined from the left and with all its columns, here and by the
-    caller, so that Spark finds the same exchange each time and texts are shuffled once.
+
+def repeated_words(dealt: DataFrame, copies: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """doc_id, tag, spans (array of begin, end) of the words of `dealt` that windows of earlier documents cover.
+
+    `dealt` (doc_id, text, tag, ...) is dealt out by doc_id and tag. It is joined from the left and with all its columns,
+    here and by the caller, so that Spark finds the same exchange each time and texts are shuffled once. Later copies of
+    a whole text bring no windows that the first one does not bring; their only span is (-1, -1), which means all.
     """
-    runs = _runs(docs.where("doc_id IS NOT NULL"))
+    rest = [c for c in dealt.columns if c not in ("doc_id", "tag", "text")]
+    marked = dealt.join(copies.withColumn("copied", F.lit(True)).hint("shuffle_hash"), ["doc_id", "tag"], "left")
+    wanted = F.when(F.col("copied").isNull() & F.col("doc_id").isNotNull(), F.col("text")).alias("text")
+    firsts = marked.select("doc_id", "tag", wanted, *rest)
+    minis = _minimisers(firsts)
     shared = (
-        runs.groupBy("mini")
+        minis.groupBy("mini")
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count(F.lit(1)).alias("size"))
         .where("low < high")
         .select("mini", "size")
     )
-    candidates = runs.join(shared, "mini")
+    candidates = _split_join(minis, shared, "mini")
 
     def packed(chosen: DataFrame) -> DataFrame:
-        listed = chosen.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("mini", "start", "n")).alias("runs"))
+        listed = chosen.groupBy("doc_id", "tag").agg(F.collect_list("mini").alias("minis"))
         joined = dealt.join(listed, ["doc_id", "tag"], "left")
-        return _packed(joined.withColumn("text", F.when(F.col("runs").isNotNull(), F.col("text"))))
+        return _packed(joined.withColumn("text", F.when(F.col("minis").isNotNull(), F.col("text"))))
 
-    found = _settled_in_buckets(packed(candidates.where(F.col("size") <= bucket_rows))).unionByName(
-        _settled_by_window(packed(candidates.where(F.col("size") > bucket_rows)))
-    )
-    return found.groupBy("doc_id", "tag").agg(F.collect_list(F.struct("begin", "end")).alias("spans"))
+    one = F.array(F.struct("begin", "end")).alias("spans")
+    found = _settled_in_buckets(packed(candidates.where(F.col("size") <= bucket_rows))).select("doc_id", "tag", one)
+    crowded = _settled_by_window(packed(candidates.where(F.col("size") > bucket_rows)))
+    whole = copies.select("doc_id", "tag", F.lit(-1).alias("begin"), F.lit(-1).alias("end")).select("doc_id", "tag", one)
+    every = found.unionByName(crowded).unionByName(whole)
+    return every.groupBy("doc_id", "tag").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
 def without_repeats(docs: DataFrame, text: str = "text", bucket_rows: int = BUCKET_ROWS, keep_untouched: bool = False) -> DataFrame:
@@ -285,7 +335,7 @@ def without_repeats(docs: DataFrame, text: str = "text", bucket_rows: int = BUCK
     row = F.struct(F.col(text).isNull().alias("was_null"), *[F.col(f"`{c}`") for c in others]).alias("row")
     whole = docs.select("doc_id", given.alias("text"), tag, *([row] if others or keep_untouched else []))
     dealt = whole.repartition("doc_id", "tag")
-    joined = dealt.join(repeated_words(whole, dealt, bucket_rows), ["doc_id", "tag"], "left")
+    joined = dealt.join(repeated_words(dealt, later_copies(whole), bucket_rows), ["doc_id", "tag"], "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -301,6 +351,9 @@ def without_repeats(docs: DataFrame, text: str = "text", bucket_rows: int = BUCK
                         continue
                     gone = np.zeros(len(words) + 1, dtype=np.int64)
                     for s in listed:
+                        if s["begin"] < 0:  # a later copy of a whole text
+                            gone[0] += len(words) >= WINDOW
+                            continue
                         gone[s["begin"]] += 1
                         gone[s["end"]] -= 1
                     stays = np.cumsum(gone[:-1]) == 0
