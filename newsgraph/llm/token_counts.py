@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import json
 from collections import Counter
-from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -23,7 +22,7 @@ from newsgraph.llm.batches import map_texts
 
 # The first tier is learnt from so many rows and holds at most so many pre-tokens of at most so many characters, so the
 # broadcast stays under 5 MB whatever the corpus. Neither bound touches a count.
-SAMPLE_ROWS = 2_000
+SAMPLE_ROWS = 1_000
 TABLE_ROWS = 50_000
 CACHE_ROWS = 500_000
 CACHED_CHARS = 64
@@ -123,30 +122,17 @@ def _worker_lengths(key: int, definition: str, frequent: tuple) -> _Lengths:
 def frequent_lengths(
     df: DataFrame, tokenizer: Tokenizer, text: str = "text", sample_rows: int = SAMPLE_ROWS, table_rows: int = TABLE_ROWS
 ) -> list[tuple[str, int]]:
-    """The most frequent pre-tokens of at most `sample_rows` rows with their lengths, at most `table_rows` of them.
+    """The most frequent pre-tokens of the first `sample_rows` rows with their lengths, at most `table_rows` of them.
 
-    The sample is counted inside one task with a bounded counter, so nothing is shuffled by pre-token; only the bounded
-    table reaches the driver. An empty table gives an empty list.
+    Taking a few rows reads a few partitions and shuffles nothing. An empty table gives an empty list.
     """
-    spec = tokenizer.spec
-    definition = tokenizer.definition
-
-    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[str] = Counter()
-        for batch in batches:
-            for value in batch.column(0).to_pylist():
-                for listed in pretokens.pretoken_lists(value or "", spec):
-                    seen.update(listed)
-                if len(seen) > 10 * table_rows:
-                    seen = Counter(dict(seen.most_common(5 * table_rows)))
-        kept = sorted((p for p in seen if len(p) <= CACHED_CHARS), key=lambda p: (-seen[p], p))[:table_rows]
-        tokenize = _library(definition).model.tokenize
-        lengths = [len(tokenize(_spelt(p))) for p in kept]
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array(lengths, pa.int32())], names=["pretoken", "length"])
-
-    sample = df.select(text).limit(sample_rows).coalesce(1)
-    rows = sample.mapInArrow(top, "pretoken string, length int").collect()
-    return [(r["pretoken"], r["length"]) for r in rows]
+    seen: Counter[str] = Counter()
+    for row in df.select(text).limit(sample_rows).collect():
+        for listed in pretokens.pretoken_lists(row[0] or "", tokenizer.spec):
+            seen.update(p for p in listed if len(p) <= CACHED_CHARS)
+    kept = sorted(seen, key=lambda p: (-seen[p], p))[:table_rows]
+    tokenize = _library(tokenizer.definition).model.tokenize
+    return [(p, len(tokenize(_spelt(p)))) for p in kept]
 
 
 def count_tokens(
