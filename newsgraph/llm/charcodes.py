@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,9 +45,45 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order, with their numbers."""
-    return np.unique(keys, return_counts=True)
+# Distinct keys and their numbers that a counter holds before it merges them, and before they have to be handed on.
+MERGE_KEYS, FULL_KEYS = 1_500_000, 750_000
+
+
+class Counters:
+    """Numbers of 64-bit keys by kind, in bounded memory: whoever counts empties them whenever they are full."""
+
+    def __init__(self) -> None:
+        self.held: dict[object, list[tuple[np.ndarray, np.ndarray]]] = {}
+        self.size = 0
+
+    def add(self, kind: object, keys: np.ndarray) -> bool:
+        """Count `keys`; true if the counters should be emptied now."""
+        pair = np.unique(keys, return_counts=True)
+        self.held.setdefault(kind, []).append(pair)
+        self.size += len(pair[0])
+        if self.size > MERGE_KEYS:
+            for name in self.held:
+                self.held[name] = [self._merged(name)]
+            self.size = sum(len(pairs[0][0]) for pairs in self.held.values())
+        return self.size > FULL_KEYS and all(len(pairs) == 1 for pairs in self.held.values())
+
+    def _merged(self, kind: object) -> tuple[np.ndarray, np.ndarray]:
+        pairs = self.held[kind]
+        if len(pairs) == 1:
+            return pairs[0]
+        keys, numbers = np.concatenate([k for k, _ in pairs]), np.concatenate([n for _, n in pairs])
+        order = np.argsort(keys)
+        keys, numbers = keys[order], numbers[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
+        return keys[first], np.add.reduceat(numbers, first) if len(first) else numbers
+
+    def empty(self) -> Iterator[tuple[object, np.ndarray, np.ndarray]]:
+        """Kind, keys (signed) and numbers of all that was counted; nothing is held afterwards."""
+        for kind in list(self.held):
+            keys, numbers = self._merged(kind)
+            del self.held[kind]
+            yield kind, keys.view(np.int64), numbers.astype(np.int64)
+        self.size = 0
 
 
 class HashArray:

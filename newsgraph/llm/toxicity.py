@@ -18,18 +18,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsgraph.llm.batches import slices
-from newsgraph.llm.charcodes import HashArray, folded
+from newsgraph.llm.charcodes import Counters, HashArray, folded
 from newsgraph.llm.langid import bounded, held_out
 from newsgraph.operators.scale import broadcast_if_small
 from newsgraph.scratch import materialise
 
 RUN = 6
 # Expressions that the broadcast model holds at most: 8 bytes a key, 4 a value.
-MODEL_GRAMS = 2_000_000
+MODEL_GRAMS = 1_000_000
 # An expression seen less often than this in all tells the classes nothing.
 LEAST_COUNT = 4
 # Offset and slope of the curve where there is nothing to fit it to.
-PRIOR = (-1.0, 4.0)
+PRIOR = (-2.0, 4.0)
 # Occurrences that an expression borrows from the counts of both classes, dealt to each by its size.
 BACKOFF = 5.0
 # Characters of a passage.
@@ -40,7 +40,6 @@ CURVE_FOLD = 3
 BIN = 0.02
 # The curve is fitted to the logarithm of the difference, raised by this much; differences below zero count as zero.
 FLOOR = 0.05
-TASK_GRAMS = 1_000_000
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,19 +60,13 @@ def gram_counts(rows: DataFrame) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-
-        def merged(kind: int) -> tuple[np.ndarray, np.ndarray]:
-            keys, where = np.unique(np.concatenate([k for k, _ in held[kind]]), return_inverse=True)
-            return keys, np.bincount(where, np.concatenate([n for _, n in held[kind]])).astype(np.int64)
+        counters = Counters()
 
         def out() -> Iterator[pa.RecordBatch]:
-            for kind in held:
-                keys, numbers = merged(kind)
+            for kind, keys, numbers in counters.empty():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64)), pa.array(np.full(len(keys), kind, dtype=np.int32)), pa.array(numbers)], names=["gram", "kind", "n"]
+                    [pa.array(keys), pa.array(np.full(len(keys), kind, dtype=np.int32)), pa.array(numbers)], names=["gram", "kind", "n"]
                 )
-            held.clear()
 
         for batch in batches:
             for part in slices(batch, "text"):
@@ -81,11 +74,8 @@ def gram_counts(rows: DataFrame) -> DataFrame:
                 for text, toxic, curve in zip(*[part.column(i).to_pylist() for i in range(3)], strict=True):
                     parts.setdefault(2 * int(toxic) + int(curve), []).append(_keys(folded(text, 1)))
                 for kind, keys in parts.items():
-                    held.setdefault(kind, []).append(np.unique(np.concatenate(keys), return_counts=True))
-                    if len(held[kind]) >= 8:
-                        held[kind] = [merged(kind)]
-            if sum(len(k) for pairs in held.values() for k, _ in pairs) > TASK_GRAMS:
-                yield from out()
+                    if counters.add(kind, np.concatenate(keys)):
+                        yield from out()
         yield from out()
 
     partial = rows.select("text", "toxic", "for_curve").mapInArrow(run, "gram long, kind int, n long")
@@ -101,35 +91,41 @@ class Model:
     gains: np.ndarray
 
 
-def _model(frame, sums: dict[str, float], toxic: np.ndarray, ordinary: np.ndarray, tag: str) -> Model:
-    """The two Kneser-Ney models over shared backoff, as the difference of their logarithms."""
-    total_t, total_o = sums[f"{tag}t"], sums[f"{tag}o"]
-    if not total_t or not total_o:
-        return Model(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.float32))
-    logs = []
-    for own, total, one, two in ((toxic, total_t, sums[f"{tag}t1"], sums[f"{tag}t2"]), (ordinary, total_o, sums[f"{tag}o1"], sums[f"{tag}o2"])):
+def _gain(toxic: str, ordinary: str, sums: dict[str, float], tag: str) -> str:
+    """SQL of the difference of the logarithms of the two Kneser-Ney models over their shared backoff counts."""
+    logs, totals = [], (sums[f"{tag}t"], sums[f"{tag}o"])
+    for own, total, kind in ((toxic, totals[0], "t"), (ordinary, totals[1], "o")):
+        one, two = sums[f"{tag}{kind}1"], sums[f"{tag}{kind}2"]
         discount = min(max(one / (one + 2 * two) if two else 0.75, 0.1), 0.9)
-        part = total / (total_t + total_o)
+        part = total / sum(totals)
         # in units of the count that an expression of the shared distribution would have in this class
-        logs.append(np.log((np.maximum(own - discount, 0) + BACKOFF * part) / part))
-    gains = np.where(toxic + ordinary >= LEAST_COUNT, logs[0] - logs[1], 0.0)
-    keep = np.abs(gains) > 1e-6
-    return Model(frame["gram"].to_numpy(dtype=np.int64).view(np.uint64)[keep], gains[keep].astype(np.float32))
+        logs.append(f"ln((greatest({own} - {discount!r}D, 0D) + {BACKOFF * part!r}D) / {part!r}D)")
+    return f"{logs[0]} - {logs[1]}"
 
 
 def train(rows: DataFrame, most: int = MODEL_GRAMS) -> tuple[Model, Model]:
-    """(model of all rows, model of the rows that do not fit the curve); counts cover all rows."""
+    """(model of all rows, model of the rows that do not fit the curve); counts cover all rows.
+
+    The differences are computed where the counts are; the driver gets at most `most` of them, those that tell most.
+    """
     counts = materialise(gram_counts(rows), "toxic-grams")
-    columns = {"at": "t", "ao": "o", "bt": "t - ct", "bo": "o - co"}
+    columns = {"at": "t", "ao": "o", "bt": "(t - ct)", "bo": "(o - co)"}
     sums = counts.agg(*[
         F.expr(f"cast(coalesce({what}, 0) as double)").alias(name)
         for key, value in columns.items()
         for name, what in ((key, f"sum({value})"), (f"{key}1", f"sum(if({value} = 1, 1, 0))"), (f"{key}2", f"sum(if({value} = 2, 1, 0))"))
     ]).first().asDict()
-    telling = counts.withColumn("n", F.col("t") + F.col("o")).where(F.col("n") >= LEAST_COUNT)
-    frame = bounded(telling, most).toPandas()
-    t, o, ct, co = (frame[c].to_numpy(dtype=float) for c in ("t", "o", "ct", "co"))
-    return _model(frame, sums, t, o, "a"), _model(frame, sums, t - ct, o - co, "b")
+    models = []
+    for tag in "ab":
+        toxic, ordinary = columns[f"{tag}t"], columns[f"{tag}o"]
+        if not sums[f"{tag}t"] or not sums[f"{tag}o"]:
+            models.append(Model(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.float32)))
+            continue
+        gains = counts.where(f"{toxic} + {ordinary} >= {LEAST_COUNT}").select("gram", F.expr(_gain(toxic, ordinary, sums, tag)).alias("gain"))
+        telling = bounded(gains.withColumn("n", F.floor(F.abs("gain") * 64)).where("n > 0"), most)
+        found = telling.select("gram", F.col("gain").cast("float").alias("gain")).toArrow()
+        models.append(Model(found.column("gram").to_numpy().view(np.uint64), found.column("gain").to_numpy()))
+    return models[0], models[1]
 
 
 class Scorer:
@@ -181,13 +177,13 @@ def passages(rows: DataFrame, model: Model, key: str = "doc_id", text: str = "te
 
 
 def curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
-    """Offset and slope of the logistic curve through (evidence, toxic rows, ordinary rows), with a light prior."""
+    """Offset and slope of the logistic curve through (evidence, toxic rows, ordinary rows), with a prior that weighs like a few rows."""
     if not bins:
         return PRIOR
     x = np.array([b[0] for b in bins])
     t, o = (np.array([b[i] for b in bins], dtype=float) for i in (1, 2))
     prior = np.array(PRIOR)
-    weights, strength = prior.copy(), np.array([0.01, 0.01])
+    weights, strength = prior.copy(), np.array([1.0, 3.0])
 
     def loss(w: np.ndarray) -> float:
         z = w[0] + w[1] * x
