@@ -1,14 +1,13 @@
 """Typed mentions: attribute types by pattern, entity types by dictionary.
 
 A text is cut into pieces by one left-to-right scan (`lexicon.PIECE`); `pos` is the index of a mention's first piece.
-Attribute mentions are single pieces, so finding them is a projection. Entity mentions are runs of one to three word
-pieces found in a dictionary `gazetteer(term, label)` of lower-case terms.
+Attribute mentions are single pieces, so finding them is a projection. Entity mentions are runs of word pieces found in a
+dictionary `gazetteer(term, label)` of lower-case terms; the lengths to look for are those of its terms.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -17,7 +16,14 @@ from newsgraph import lexicon as lx
 from newsgraph.functions import text as tx
 from newsgraph.operators.scale import broadcast_if_small
 
-MAX_WORDS = 3
+# Lengths to look for where no dictionary says.
+WORD_LENGTHS = (1, 2, 3)
+
+
+def term_lengths(gazetteer: DataFrame) -> tuple[int, ...]:
+    """Numbers of words that terms of the dictionary have, in order; a handful of numbers, combined before the shuffle."""
+    words = F.size(F.split(F.col("term"), " "))
+    return tuple(sorted(r["n"] for r in gazetteer.where("term is not null").select(words.alias("n")).distinct().collect()))
 
 
 def pieces(text: Column) -> Column:
@@ -56,36 +62,37 @@ def _word_run(run: Column) -> Column:
     return F.when(stop == 0, run).otherwise(F.slice(run, F.lit(1), stop - 1))
 
 
-def _starts(articles: DataFrame, text: str, begins: Callable[[Column], Column]) -> DataFrame:
-    """(article_id, pos, run): every piece that `begins`, with up to two pieces after it. One scan of the text."""
+def _starts(articles: DataFrame, text: str, begins: Callable[[Column], Column], reach: int) -> DataFrame:
+    """(article_id, pos, run): every piece that `begins`, with the pieces after it up to `reach` in all. One scan of the text."""
     cut = articles.select("article_id", pieces(F.col(text)).alias("_pieces"))
+    places = F.filter(F.sequence(F.lit(0), F.size("_pieces") - 1), lambda i: begins(F.get("_pieces", i)))
+    wanted = cut.select("article_id", "_pieces", F.when(F.size("_pieces") > 0, places).alias("_places"))
     # Runs are cut before the array is exploded: a row must not carry the pieces of its whole article.
-    runs = F.transform("_pieces", lambda p, i: F.struct(i.alias("pos"), F.slice("_pieces", i + 1, MAX_WORDS).alias("run")))
-    wanted = F.filter(runs, lambda r: begins(F.get(r["run"], F.lit(0))))
-    return cut.select("article_id", F.explode(wanted).alias("s")).select("article_id", "s.pos", "s.run")
+    runs = F.transform("_places", lambda i: F.struct(i.alias("pos"), F.slice("_pieces", i + 1, reach).alias("run")))
+    return wanted.select("article_id", F.explode(runs).alias("s")).select("article_id", "s.pos", "s.run")
 
 
-def _grams(run: Column) -> Column:
-    """Every leading part of a run of words as struct<words, text, term, label>."""
+def _grams(run: Column, lengths: Sequence[int]) -> Column:
+    """The leading parts of a run of words that have one of the lengths, as struct<words, text, term, label>."""
     def gram(n: Column) -> Column:
         text = F.array_join(F.slice(run, F.lit(1), n), " ")
         return F.struct(n.alias("words"), text.alias("text"), F.lower(text).alias("term"), F.lit(None).cast("string").alias("label"))
 
-    return F.transform(F.sequence(F.lit(1), F.size(run)), gram)
+    return F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.size(run)), gram)
 
 
 def _first_letter(capitalised: bool) -> str:
     return r"^\p{Lu}" if capitalised else rf"^[{lx.WORD}]"
 
 
-def ngrams(articles: DataFrame, text: str = "text", capitalised: bool = True) -> DataFrame:
-    """(article_id, pos, words, text, term) for every run of up to three word pieces. No shuffle.
+def ngrams(articles: DataFrame, text: str = "text", capitalised: bool = True, lengths: Sequence[int] = WORD_LENGTHS) -> DataFrame:
+    """(article_id, pos, words, text, term) for every run of word pieces with one of the lengths. No shuffle.
 
     With `capitalised` a run must start with an upper-case letter, as names do.
     """
-    starts = _starts(articles, text, lambda p: p.rlike(_first_letter(capitalised))).withColumn("run", _word_run(F.col("run")))
+    starts = _starts(articles, text, lambda p: p.rlike(_first_letter(capitalised)), max(lengths)).withColumn("run", _word_run(F.col("run")))
     starts = starts.where(F.size("run") > 0)
-    return starts.select("article_id", "pos", F.explode(_grams(F.col("run"))).alias("g")).select(
+    return starts.select("article_id", "pos", F.explode(_grams(F.col("run"), lengths)).alias("g")).select(
         "article_id", "pos", "g.words", "g.text", "g.term"
     )
 
@@ -93,13 +100,14 @@ def ngrams(articles: DataFrame, text: str = "text", capitalised: bool = True) ->
 def dictionary_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capitalised: bool = True) -> DataFrame:
     """Every dictionary term found, overlapping ones included."""
     entries = gazetteer.select("term", "label")
-    grams = ngrams(articles, text, capitalised)
+    grams = ngrams(articles, text, capitalised, term_lengths(gazetteer) or WORD_LENGTHS)
     return grams.join(broadcast_if_small(entries), "term").select("article_id", "pos", "words", "text", "label")
 
 
 def all_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capitalised: bool = True) -> DataFrame:
     """Dictionary terms and attribute mentions together, overlapping ones included, from one scan of the text."""
-    starts = _starts(articles, text, lambda p: p.rlike(_first_letter(capitalised)) | _may_be_attribute(p))
+    lengths = term_lengths(gazetteer) or WORD_LENGTHS
+    starts = _starts(articles, text, lambda p: p.rlike(_first_letter(capitalised)) | _may_be_attribute(p), max(lengths))
     starts = starts.withColumn("first", F.get("run", F.lit(0)))
     is_start = F.col("first").rlike(_first_letter(capitalised))
     starts = starts.select(
@@ -114,7 +122,7 @@ def all_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capi
     none = F.array().cast("array<struct<words:int,text:string,term:string,label:string>>")
     candidates = F.concat(
         F.when(F.col("attribute").isNotNull(), F.array(attribute)).otherwise(none),
-        F.when(F.size("run") > 0, _grams(F.col("run"))).otherwise(none),
+        F.when(F.size("run") > 0, _grams(F.col("run"), lengths)).otherwise(none),
     )
     rows = starts.select("article_id", "pos", F.explode(candidates).alias("c")).select("article_id", "pos", "c.*")
     entries = gazetteer.select("term", F.col("label").alias("_entry"))
@@ -123,29 +131,29 @@ def all_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capi
 
 
 def without_overlaps(hits: DataFrame) -> DataFrame:
-    """Keep a hit if no overlapping hit is longer, or equally long and further left.
+    """Take hits from the longest to the shortest, equally long ones from left to right, unless they overlap one taken.
 
-    Of several labels at the same place and length the first in the taxonomy's order stays. One window per article
-    over its hits; runs have at most three words, so only the two positions on each side can overlap.
+    Of several labels at the same place and length the first in the taxonomy's order stays. Hits that overlap, directly
+    or through others, form an island; one window per article finds where an island ends, and each is settled on its own.
     """
     labels = lx.ENTITY_TYPES + lx.ATTRIBUTE_TYPES
     position = F.array_position(F.array(*[F.lit(name) for name in labels]), F.col("label"))
     priority = F.when(position == 0, len(labels) + 1).otherwise(position)
-    at_place = Window.partitionBy("article_id", "pos").orderBy(F.desc("words"), priority, "label")
-    longest = hits.withColumn("_rn", F.row_number().over(at_place)).where("_rn = 1").drop("_rn")
-    along = Window.partitionBy("article_id").orderBy("pos")
-
-    # Neighbours within reach are at most two rows away, since there is one hit per position now.
-    def before(k: int) -> Column:
-        pos, words = F.lag("pos", k).over(along), F.lag("words", k).over(along)
-        return (pos + words > F.col("pos")) & (words >= F.col("words"))
-
-    def after(k: int) -> Column:
-        pos, words = F.lead("pos", k).over(along), F.lead("words", k).over(along)
-        return (F.col("pos") + F.col("words") > pos) & (words > F.col("words"))
-
-    beaten = reduce(lambda a, b: a | b, [F.coalesce(test, F.lit(False)) for k in (1, 2) for test in (before(k), after(k))])
-    return longest.withColumn("_beaten", beaten).where(~F.col("_beaten")).drop("_beaten")
+    before = Window.partitionBy("article_id").orderBy("pos", "words", "label").rowsBetween(Window.unboundedPreceding, -1)
+    so_far = Window.partitionBy("article_id").orderBy("pos", "words", "label").rowsBetween(Window.unboundedPreceding, 0)
+    opens = F.coalesce(F.max(F.col("pos") + F.col("words")).over(before) <= F.col("pos"), F.lit(True))
+    islands = hits.withColumn("_opens", opens.cast("int")).withColumn("_island", F.sum("_opens").over(so_far))
+    hit = F.struct((-F.col("words")).alias("shorter"), "pos", priority.alias("priority"), "label", "words", "text")
+    listed = islands.groupBy("article_id", "_island").agg(F.sort_array(F.collect_list(hit)).alias("_hits"))
+
+    def take(taken: Column, h: Column) -> Column:
+        clash = F.exists(taken, lambda t: (t["pos"] < h["pos"] + h["words"]) & (h["pos"] < t["pos"] + t["words"]))
+        return F.when(clash, taken).otherwise(F.array_append(taken, h))
+
+    # a list of one needs no folding, and most lists are of one
+    none = F.slice("_hits", 1, 0)
+    kept = F.when(F.size("_hits") == 1, F.col("_hits")).otherwise(F.aggregate("_hits", none, take))
+    return listed.select("article_id", F.explode(kept).alias("h")).select("article_id", "h.pos", "h.words", "h.text", "h.label")
 
 
 def entity_mentions(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capitalised: bool = True) -> DataFrame:

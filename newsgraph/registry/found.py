@@ -162,11 +162,7 @@ _LINKED = "round(confidence, 6) AS confidence"
 QUERIES = {
     "ner1_attribute_mentions": (attribute_mentions, o.sql("SELECT article_id, pos, text, label FROM doc_attributes")),
     "ner1_all_mentions": (all_mentions, o.sql("SELECT article_id, pos, text, label FROM doc_mentions")),
-    "ner2_entity_mentions": (entity_mentions, o.sql("""
-        SELECT article_id, pos, words, text, label FROM entity_longest m
-        WHERE NOT EXISTS (SELECT 1 FROM entity_longest b WHERE b.article_id = m.article_id AND (
-            (b.pos < m.pos AND b.pos + b.words > m.pos AND b.words >= m.words) OR
-            (b.pos > m.pos AND m.pos + m.words > b.pos AND b.words > m.words)))""")),
+    "ner2_entity_mentions": (entity_mentions, o.sql("SELECT article_id, pos, words, text, label FROM doc_entities")),
     "ner3_exploded_mentions": (exploded_mentions, o.sql("SELECT article_id, pos, text, label FROM doc_mentions")),
     "ner4_mentions_by_label": (mentions_by_label, o.sql("""
         SELECT article_id, string_agg(label || '=' || texts, ';' ORDER BY label) AS groups

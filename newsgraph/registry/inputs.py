@@ -24,32 +24,33 @@ def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(rows, "article_id")
 
 
-def _item_starts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(item_id, term): the first one, two and three words of every sentence of benchmark, in lower case."""
+def _item_grams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(item_id, term): every one to four consecutive words of every sentence of benchmark, in lower case."""
     items = table(spark, sf_dir, "benchmark")
     sentences = items.select("item_id", F.explode(tx.sentences(F.col("text"))).alias("s"))
-    opening = sentences.select("item_id", tx.word_tokens(F.col("s")).alias("t"))
-    grams = opening.select("item_id", "t", F.explode(F.array(F.lit(1), F.lit(2), F.lit(3))).alias("n")).where("size(t) >= n")
-    grams = grams.select("item_id", F.slice("t", F.lit(1), F.col("n")).alias("g"))
+    words = sentences.select("item_id", tx.word_tokens(F.col("s")).alias("t")).where("size(t) > 0")
+    starts = words.select("item_id", "t", F.explode(F.sequence(F.lit(1), F.size("t"))).alias("i"))
+    grams = starts.select("item_id", "t", "i", F.explode(F.array(*[F.lit(n) for n in (1, 2, 3, 4)])).alias("n"))
+    grams = grams.where("size(t) >= i + n - 1").select("item_id", F.slice("t", F.col("i"), F.col("n")).alias("g"))
     words_only = F.forall("g", lambda w: w.rlike(rf"^[{lx.WORD}]+$"))
     return grams.where(words_only).select("item_id", F.lower(F.array_join("g", " ")).alias("term"))
 
 
 def gazetteer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(term, label): sentence openings of benchmark; the label goes by the term's length."""
+    """(term, label): runs of words of benchmark; the label goes by the term's length."""
     types = F.array(*[F.lit(t) for t in lx.ENTITY_TYPES])
-    terms = _item_starts(spark, sf_dir).select("term").distinct()
+    terms = _item_grams(spark, sf_dir).select("term").distinct()
     return terms.select("term", F.get(types, F.char_length("term") % len(lx.ENTITY_TYPES)).alias("label"))
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(label, item, score): words and sentence openings of benchmark, one candidate per item that has them.
+    """(label, item, score): words and runs of words of benchmark, one candidate per item that has them.
 
     Terms in e or o have no score, two-letter terms no item, and long terms carry a trailing blank.
     """
     items = table(spark, sf_dir, "benchmark")
     words = items.select("item_id", F.explode(tx.split_blank(F.lower(tx.strip_special(F.col("text"))))).alias("term"))
-    counted = words.union(_item_starts(spark, sf_dir)).groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("n"))
+    counted = words.union(_item_grams(spark, sf_dir)).groupBy("item_id", "term").agg(F.count(F.lit(1)).alias("n"))
     return counted.select(
         F.when(F.char_length("term") > 5, F.concat("term", F.lit(" "))).otherwise(F.col("term")).alias("label"),
         F.when(F.char_length("term") != 2, F.concat(F.lit("Q"), F.col("item_id").cast("string"))).alias("item"),

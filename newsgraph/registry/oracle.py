@@ -96,6 +96,18 @@ _CONFIDENCE = (
 )
 
 
+def taken_hits(hits: str) -> str:
+    """From the longest hit to the shortest, from left to right, whatever overlaps none taken before."""
+    return f"""
+        SELECT article_id, h.pos AS pos, h.words AS words, h.text AS text, h.label AS label FROM (
+            SELECT article_id, unnest(list_reduce(
+                list([{{'pos': pos, 'words': words, 'text': text, 'label': label}}]
+                     ORDER BY words DESC, pos, list_position({_ALL_TYPES}, label)),
+                lambda taken, x: taken || list_filter(x, lambda h: len(list_filter(taken, lambda t:
+                    t.pos < h.pos + h.words AND h.pos < t.pos + t.words)) = 0))) AS h
+            FROM {hits} GROUP BY article_id)"""
+
+
 def mention_ctes(prefix: str, source: str, text: str, capitalised: bool = True) -> dict[str, str]:
     """pieces -> hits -> longest -> mentions over a text column."""
     first = "\\p{Lu}.*" if capitalised else ".*"
@@ -107,7 +119,8 @@ def mention_ctes(prefix: str, source: str, text: str, capitalised: bool = True)
         f"{prefix}pieces": f"""
             SELECT article_id, pos, piece,
                    lead(piece, 1) OVER (PARTITION BY article_id ORDER BY pos) AS piece2,
-                   lead(piece, 2) OVER (PARTITION BY article_id ORDER BY pos) AS piece3
+                   lead(piece, 2) OVER (PARTITION BY article_id ORDER BY pos) AS piece3,
+                   lead(piece, 3) OVER (PARTITION BY article_id ORDER BY pos) AS piece4
             FROM (SELECT article_id, unnest(p) AS piece, unnest(range(len(p))) AS pos
                   FROM (SELECT article_id, regexp_extract_all({text}, {q(_PIECE)}, 0) AS p FROM {source}))""",
         f"{prefix}attributes": f"""
@@ -121,19 +134,16 @@ def mention_ctes(prefix: str, source: str, text: str, capitalised: bool = True)
             SELECT article_id, pos, 2, piece || ' ' || piece2 FROM {prefix}starts WHERE {word('piece2')}
             UNION ALL
             SELECT article_id, pos, 3, piece || ' ' || piece2 || ' ' || piece3 FROM {prefix}starts
-            WHERE {word('piece2')} AND {word('piece3')}""",
+            WHERE {word('piece2')} AND {word('piece3')}
+            UNION ALL
+            SELECT article_id, pos, 4, piece || ' ' || piece2 || ' ' || piece3 || ' ' || piece4 FROM {prefix}starts
+            WHERE {word('piece2')} AND {word('piece3')} AND {word('piece4')}""",
         f"{prefix}gazhits": f"""
             SELECT g.article_id, g.pos, g.words, g.text, z.label
             FROM {prefix}grams g JOIN gazetteer z ON lower(g.text) = z.term""",
         f"{prefix}hits": f"SELECT * FROM {prefix}gazhits UNION ALL SELECT * FROM {prefix}attributes",
-        f"{prefix}longest": f"""
-            SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id, pos
-                ORDER BY words DESC, list_position({_ALL_TYPES}, label)) AS rn FROM {prefix}hits) WHERE rn = 1""",
-        f"{prefix}mentions": f"""
-            SELECT m.article_id, m.pos, m.text, m.label FROM {prefix}longest m
-            WHERE NOT EXISTS (SELECT 1 FROM {prefix}longest o WHERE o.article_id = m.article_id AND (
-                (o.pos < m.pos AND o.pos + o.words > m.pos AND o.words >= m.words) OR
-                (o.pos > m.pos AND m.pos + m.words > o.pos AND o.words > m.words)))""",
+        f"{prefix}mentions": taken_hits(f"{prefix}hits"),
+        f"{prefix}entities": taken_hits(f"{prefix}gazhits"),
     }
 
 
@@ -144,20 +154,20 @@ CTES: dict[str, str] = {
         FROM conversations""",
     "triples": """
         SELECT event_id AS id, 'user ' || user_id AS entity1, event_type AS predicate, props AS entity2 FROM events""",
-    "openings": f"""
-        SELECT item_id, lower(array_to_string(t[1:n], ' ')) AS term
-        FROM (SELECT item_id, {words_of('s')} AS t
-              FROM (SELECT item_id, unnest({sentences_of('text')}) AS s FROM benchmark)),
-             (VALUES (1), (2), (3)) v(n)
-        WHERE len(t) >= n AND len(list_filter(t[1:n], lambda w: NOT regexp_full_match(w, {q(f'[{lx.WORD}]+')}))) = 0""",
-    "gazetteer": f"SELECT DISTINCT term, {_TYPE_LIST}[length(term) % {len(lx.ENTITY_TYPES)} + 1] AS label FROM openings",
+    "item_grams": f"""
+        SELECT item_id, lower(array_to_string(t[i:i + n - 1], ' ')) AS term
+        FROM (SELECT item_id, t, unnest(range(1, len(t) + 1)) AS i
+              FROM (SELECT item_id, {words_of('s')} AS t FROM (SELECT item_id, unnest({sentences_of('text')}) AS s FROM benchmark))),
+             (VALUES (1), (2), (3), (4)) v(n)
+        WHERE len(t) >= i + n - 1 AND len(list_filter(t[i:i + n - 1], lambda w: NOT regexp_full_match(w, {q(f'[{lx.WORD}]+')}))) = 0""",
+    "gazetteer": f"SELECT DISTINCT term, {_TYPE_LIST}[length(term) % {len(lx.ENTITY_TYPES)} + 1] AS label FROM item_grams",
     "catalogue": f"""
         SELECT CASE WHEN length(term) > 5 THEN term || ' ' ELSE term END AS label,
                CASE WHEN length(term) <> 2 THEN 'Q' || item_id END AS item,
                CASE WHEN substr(term, 1, 1) NOT IN ('e', 'o') THEN n::DOUBLE / (n + 2) END AS score
         FROM (SELECT item_id, term, count(*) AS n FROM (
                 SELECT item_id, unnest({tokens_of(f"lower({special('text')})")}) AS term FROM benchmark
-                UNION ALL SELECT item_id, term FROM openings) GROUP BY item_id, term)""",
+                UNION ALL SELECT item_id, term FROM item_grams) GROUP BY item_id, term)""",
     "sents": f"""
         SELECT article_id, unnest(s) AS sentence, unnest(range(len(s))) AS sent
         FROM (SELECT article_id, {sentences_of("coalesce(text, '')")} AS s FROM articles)""",
@@ -241,9 +251,6 @@ CTES: dict[str, str] = {
     **mention_ctes("sum_", "summaries", "summary"),
     "raw_turns": "SELECT article_id, coalesce(\"Sentence\", '') AS text FROM turns",
     **mention_ctes("raw_turn_", "raw_turns", "text"),
-    "entity_longest": """
-        SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY article_id, pos ORDER BY words DESC) AS rn FROM doc_gazhits)
-        WHERE rn = 1""",
     # -- linking
     "candidates": """
         SELECT lower(trim(label)) AS key, label, item, score FROM catalogue""",

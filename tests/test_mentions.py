@@ -37,6 +37,20 @@ def test_runs_stop_at_punctuation_and_case_is_optional(spark):
     assert got == ["york", "new york"]
 
 
+def test_terms_of_any_length(spark):
+    words = spark.createDataFrame([("united states of america", "GPE"), ("the long and winding road to nowhere", "LOC")], "term string, label string")
+    frame = spark.createDataFrame([(1, "The United States of America"), (2, "The Long and Winding Road to Nowhere, The long")], "article_id long, text string")
+    got = [tuple(r) for r in mn.entity_mentions(frame, words).orderBy("article_id").select("article_id", "words", "text").collect()]
+    assert got == [(1, 4, "United States of America"), (2, 7, "The Long and Winding Road to Nowhere")]
+
+
+def test_a_dropped_hit_drops_nothing(spark):
+    words = spark.createDataFrame([(t, "ORG") for t in ("a b c", "c d e", "e f g", "a", "h i j k", "g h i")], "term string, label string")
+    frame = spark.createDataFrame([(1, "A B C D E F G"), (2, "G H I J K"), (3, "A B"), (4, "E F G H I J K")], "article_id long, text string")
+    got = [tuple(r) for r in mn.entity_mentions(frame, words).orderBy("article_id", "pos").select("article_id", "text").collect()]
+    assert got == [(1, "A B C"), (1, "E F G"), (2, "H I J K"), (3, "A"), (4, "E F G"), (4, "H I J K")]
+
+
 def test_lists_and_groups(spark):
     frame = spark.createDataFrame([(1, "Acme paid 5% and 7% to Acme"), (2, "nothing")], "article_id long, text string")
     found = mn.all_mentions(frame, gazetteer(spark))
