@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from newsgraph import lexicon as lx
 from newsgraph.functions import text as tx
+from newsgraph.scratch import materialise
 from newsgraph.sources.readers import require_columns
 
 # The coefficient matrix (classes x features) is the one thing the driver holds.
@@ -26,12 +27,11 @@ def classifier_input(rows: DataFrame, both_entities: bool = False) -> DataFrame:
 def train(train_rows: DataFrame, both_entities: bool = False, features: int = 1 << 16, max_iter: int = 30) -> PipelineModel:
     """Fit label codes (alphabetical, on the training rows only) and a multinomial logistic regression."""
     require_columns(train_rows, ["entity1", "predicate", "entity2"])
-    rows = classifier_input(train_rows.dropna(subset=["entity1", "predicate"]), both_entities)
+    # the class count, the label codes, the IDF and the fit all read these rows
+    rows = materialise(classifier_input(train_rows.dropna(subset=["entity1", "predicate"]), both_entities), "training-rows")
     classes = rows.select("predicate").distinct().count()
-    while features > 1024 and classes * features > MAX_COEFFICIENTS:
-        features //= 2
     if classes * features > MAX_COEFFICIENTS:
-        raise ValueError(f"{classes} classes are too many for one model")
+        raise ValueError(f"{classes} classes x {features} features are too many coefficients for one model: ask for fewer features")
     indexer = StringIndexer(inputCol="predicate", outputCol="label", stringOrderType="alphabetAsc", handleInvalid="error")
     indexer_model = indexer.fit(rows)
     stages = [

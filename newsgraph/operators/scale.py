@@ -48,12 +48,12 @@ def lookup_join(
     """Join `facts` to `dim`, which has few rows per `key` and knows in `frequency` how many facts carry the key.
 
     Keys with more than `hot_rows` facts are salted: their dim row is copied once per `hot_rows` facts and each fact
-    goes to one copy by the hash of its `spread` columns. Only the hot keys are broadcast; there are at most
-    (number of facts / hot_rows) of them, whatever the data looks like.
+    goes to one copy by the hash of its `spread` columns. There are at most (number of facts / hot_rows) hot keys; they
+    are broadcast up to the checked size, beyond it they are joined by a shuffle.
     """
     salts = F.ceil(F.col(frequency) / F.lit(hot_rows)).cast("int")
     hot = dim.where(F.col(frequency) > hot_rows).select(key, salts.alias("_salts")).distinct()
-    salted_facts = facts.join(F.broadcast(hot), key, "left").withColumn(
+    salted_facts = facts.join(broadcast_if_small(hot), key, "left").withColumn(
         "_salt",
         F.when(F.col("_salts").isNull(), F.lit(0)).otherwise(
             F.pmod(F.xxhash64(*spread), F.col("_salts").cast("long")).cast("int")

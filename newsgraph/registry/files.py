@@ -30,11 +30,12 @@ def read_articles(spark, sf_dir):
 
 
 def read_unnumbered_articles(spark, sf_dir):
-    """Without an identity column rows get distinct numbers."""
+    """Without an identity column rows are numbered in file order: one file per range of documents, sizes unlike."""
     path = fresh_path(spark, "articles") + ".json"
-    sk.write_table(_excel_like(spark, sf_dir).drop("article_id"), path, "json")
-    rows = rd.read_articles(spark, path, schema="Text string, Link string")
-    return rows.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("article_id").alias("ids"))
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("Text"), F.col("source").alias("Link"))
+    rows.repartitionByRange(files, "doc_id").sortWithinPartitions("doc_id").drop("doc_id").write.json(path)
+    return rd.read_articles(spark, path, schema="Text string, Link string")
 
 
 def read_sentences(spark, sf_dir):
@@ -163,7 +164,9 @@ _LINE = "coalesce(event_id::VARCHAR || ' ' || CASE WHEN event_type <> 'error' TH
 
 QUERIES = {
     "src1_articles": (read_articles, o.sql("SELECT article_id, ord, url, text FROM articles")),
-    "src1_unnumbered_articles": (read_unnumbered_articles, "SELECT count(*) AS n, count(*) AS ids FROM documents"),
+    "src1_unnumbered_articles": (read_unnumbered_articles, """
+        SELECT row_number() OVER (ORDER BY doc_id) - 1 AS article_id, row_number() OVER (ORDER BY doc_id) - 1 AS ord,
+               source AS url, text FROM documents"""),
     "src2_sentences": (read_sentences, o.sql(f"SELECT article_id, {_SENTENCE} AS \"Sentence\" FROM turns")),
     "src3_triples_text": (read_triples, f"""
         SELECT event_id::VARCHAR AS "Entity1", CASE WHEN event_type <> 'error' THEN event_type END AS "Predicate",

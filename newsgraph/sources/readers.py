@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsgraph.functions import text as tx
-from newsgraph.scratch import materialise
+from newsgraph.operators.scale import range_rank
 
 TRIPLE_SCHEMA = T.StructType([T.StructField(n, T.StringType()) for n in ("Entity1", "Predicate", "Entity2")])
 
@@ -59,6 +59,17 @@ def _load(
     return reader.format(fmt).load(path)
 
 
+def in_file_order(table: DataFrame, fields: Iterable[Column], number: str) -> DataFrame:
+    """`fields` of a table just loaded from files, numbered from 0 by file name, block and row in the block.
+
+    Spark deals files to tasks by size, so a task's number says nothing about the order; inside a block rows keep it.
+    """
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    rows = table.select(*fields, *place, F.monotonically_increasing_id().alias("_row"))
+    ranked = range_rank(rows, [], [F.col("_file"), F.col("_block"), F.col("_row")], name=number)
+    return ranked.withColumn(number, F.col(number).cast("long") - 1).drop("_file", "_block", "_row")
+
+
 def read_articles(
     spark: SparkSession,
     path: str,
@@ -71,8 +82,9 @@ def read_articles(
 ) -> DataFrame:
     """(article_id, ord, url, text) with null texts as ''.
 
-    `identity` names a BIGINT column that numbers the articles. Without one, rows are numbered in reading order and
-    written to the shared folder once, because such numbers would change between two runs of the same plan.
+    `identity` names a BIGINT column that numbers the articles. Without one, rows are numbered from 0 in the order of
+    files by name and of rows in a file, and written to the shared folder once. `multiline` reads CSV fields with line
+    breaks, one task per file; switch it off for large files without them.
     """
     table = require_columns(_load(spark, path, fmt, schema, multiline), [text, link])
     fields = [F.col(link).cast("string").alias("url"), tx.filled(F.col(text)).alias("text")]
@@ -80,16 +92,18 @@ def read_articles(
         require_columns(table, [identity])
         rows = table.select(F.col(identity).cast("long").alias("article_id"), *fields)
     else:
-        rows = materialise(table.select(F.monotonically_increasing_id().alias("article_id"), *fields), "articles")
+        rows = in_file_order(table, fields, "article_id")
     return rows.select("article_id", F.col("article_id").alias("ord"), "url", "text")
 
 
-def read_sentences(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
+def read_sentences(
+    spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None, multiline: bool = True
+) -> DataFrame:
     """Table with a Sentence column, chosen by suffix: .txt is header-less triples, other formats need `Sentence`."""
     fmt = fmt or format_of(path)
     if fmt == "txt":
         return read_triples_text(spark, path)
-    table = require_columns(_load(spark, path, fmt, schema), ["Sentence"])
+    table = require_columns(_load(spark, path, fmt, schema, multiline), ["Sentence"])
     return table.withColumn("Sentence", tx.filled(F.col("Sentence")))
 
 
@@ -120,9 +134,9 @@ def _reject_duplicates(names: list[str]) -> None:
         raise ValueError(f"several columns would be named: {', '.join(twice)}")
 
 
-def read_labelled_triples(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
+def read_labelled_triples(spark: SparkSession, path: str, fmt: str = "csv", multiline: bool = True) -> DataFrame:
     """Labelled triples with a header in any of the accepted spellings."""
-    table = alias_headers(normalise_headers(_load(spark, path, fmt, None)))
+    table = alias_headers(normalise_headers(_load(spark, path, fmt, None, multiline)))
     return require_columns(table, ["entity1", "predicate", "entity2"])
 
 

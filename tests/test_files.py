@@ -1,3 +1,5 @@
+import json
+
 import pytest
 
 from newsgraph.sources import readers as rd
@@ -59,3 +61,21 @@ def test_nested_columns_become_json_in_csv(spark, tmp_path):
     frame = spark.createDataFrame([(1, ["a", "b"])], "id int, t array<string>")
     sk.write_articles(frame, str(tmp_path / "n"))
     assert spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "n")).first()["t"] == '["a","b"]'
+
+
+def test_unnumbered_rows_follow_file_names_not_file_sizes(spark, tmp_path):
+    """Spark deals the largest file first; the numbers still go by file name and row in the file."""
+    path = tmp_path / "t.json"
+    path.mkdir()
+    texts = [["a0"], [f"b{i:04d}" + "x" * 200 for i in range(2000)], ["c0", "c1"]]
+    for name, rows in zip("abc", texts):
+        (path / f"{name}.json").write_text("".join(json.dumps({"Text": t, "Link": "l"}) + "\n" for t in rows))
+    read = rd.read_articles(spark, str(path), schema="Text string, Link string")
+    got = [(r["article_id"], r["text"]) for r in read.orderBy("article_id").collect()]
+    assert got == list(enumerate(t for rows in texts for t in rows))
+
+
+def test_csv_keeps_blanks_at_the_ends_of_a_field(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "  two blanks  ")], "id int, t string")
+    sk.write_table(frame, str(tmp_path / "b"), "csv")
+    assert spark.read.option("header", True).csv(str(tmp_path / "b")).first()["t"] == "  two blanks  "
