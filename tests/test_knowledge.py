@@ -113,6 +113,31 @@ def test_batches_merge_to_the_whole(spark, linked, relations, tmp_path):
     assert folded["edges"] == expected["edges"] and folded["nodes"] == expected["nodes"]
 
 
+def test_retry_after_compaction_counts_once(spark, linked, relations, tmp_path):
+    def append(path, number):
+        rows = F.col("ord") == number + 1
+        stream.append_batch(linked.where(rows), relations.where(rows), str(tmp_path / path), number)
+
+    def counts(path):
+        rows = stream.read_knowledge_base(spark, str(tmp_path / path))["entities"]
+        return sorted((r["type"], r["text"], r["confidence_counts"]) for r in rows.collect())
+
+    for number in (0, 1):
+        append("a", number)
+    before = counts("a")
+    stream.compact(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    for number in (0, 1):
+        append("b", number)
+    assert counts("b") == before
+    append("a", 2)
+    append("b", 2)
+    assert counts("b") == counts("a") != before
+    stream.compact(spark, str(tmp_path / "b"), str(tmp_path / "c"))
+    append("c", 1)
+    append("c", 2)
+    assert counts("c") == counts("a")
+
+
 def test_stream_of_several_files_equals_one_run(spark, linked, relations, tmp_path):
     source = str(tmp_path / "in")
     for i in (1, 2, 3, 4):
