@@ -17,14 +17,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsgraph.llm.batches import slices
+from newsgraph.llm.batches import fresh_name, slices
 from newsgraph.llm.charcodes import Counters, HashArray, folded
 from newsgraph.llm.langid import bounded, held_out
-from newsgraph.operators.scale import broadcast_if_small
+from newsgraph.operators.scale import broadcast_if_small, small_enough
 from newsgraph.scratch import materialise
 
 RUN = 6
-# Expressions that the broadcast model holds at most: 8 bytes a key, 4 a value.
+# Expressions that the broadcast tier holds at most: 8 bytes a key, 4 a value. The others are joined; none is left out.
 MODEL_GRAMS = 1_000_000
 # An expression seen less often than this in all tells the classes nothing.
 LEAST_COUNT = 4
@@ -85,10 +85,11 @@ def gram_counts(rows: DataFrame) -> DataFrame:
 
 @dataclass
 class Model:
-    """Differences of log-likelihoods, toxic less ordinary, of the expressions that have any."""
+    """Differences of log-likelihoods, toxic less ordinary: of the most frequent expressions here, of all others in `rest`."""
 
     keys: np.ndarray
     gains: np.ndarray
+    rest: DataFrame | None = None
 
 
 def _gain(toxic: str, ordinary: str, sums: dict[str, float], tag: str) -> str:
@@ -106,7 +107,8 @@ def _gain(toxic: str, ordinary: str, sums: dict[str, float], tag: str) -> str:
 def train(rows: DataFrame, most: int = MODEL_GRAMS) -> tuple[Model, Model]:
     """(model of all rows, model of the rows that do not fit the curve); counts cover all rows.
 
-    The differences are computed where the counts are; the driver gets at most `most` of them, those that tell most.
+    The differences are computed where the counts are; the driver gets those of at most `most` expressions, the most
+    frequent ones, and the rest stays a table.
     """
     counts = materialise(gram_counts(rows), "toxic-grams")
     columns = {"at": "t", "ao": "o", "bt": "(t - ct)", "bo": "(o - co)"}
@@ -121,10 +123,14 @@ def train(rows: DataFrame, most: int = MODEL_GRAMS) -> tuple[Model, Model]:
         if not sums[f"{tag}t"] or not sums[f"{tag}o"]:
             models.append(Model(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.float32)))
             continue
-        gains = counts.where(f"{toxic} + {ordinary} >= {LEAST_COUNT}").select("gram", F.expr(_gain(toxic, ordinary, sums, tag)).alias("gain"))
-        telling = bounded(gains.withColumn("n", F.floor(F.abs("gain") * 64)).where("n > 0"), most)
-        found = telling.select("gram", F.col("gain").cast("float").alias("gain")).toArrow()
-        models.append(Model(found.column("gram").to_numpy().view(np.uint64), found.column("gain").to_numpy()))
+        gains = counts.where(f"{toxic} + {ordinary} >= {LEAST_COUNT}").select(
+            "gram", F.expr(_gain(toxic, ordinary, sums, tag)).cast("float").alias("gain"), F.expr(f"{toxic} + {ordinary}").alias("n")
+        )
+        frequent = bounded(gains, most)
+        found = frequent.select("gram", "gain").toArrow()
+        rest = gains.join(F.broadcast(frequent.agg(F.min("n").alias("least"))), F.col("least").isNull() | (F.col("n") < F.col("least")))
+        rest = None if rest.isEmpty() else rest.select("gram", "gain")
+        models.append(Model(found.column("gram").to_numpy().view(np.uint64), found.column("gain").to_numpy(), rest))
     return models[0], models[1]
 
 
@@ -134,19 +140,34 @@ class Scorer:
     def __init__(self, model: Model):
         self.array, self.gains = HashArray(model.keys), model.gains
 
-    def passages(self, texts: list[str]) -> np.ndarray:
-        """The length-normalised difference of the most toxic passage of each text; 0 if it has none."""
+    def others(self, text: str) -> np.ndarray:
+        """The distinct expressions of a text that the broadcast tier does not hold."""
+        keys = _keys(folded(text, 1))
+        return np.unique(keys[self.array.rows(keys) < 0])
+
+    def passages(self, texts: list[str], others: list[list[dict] | None] | None = None) -> np.ndarray:
+        """The length-normalised difference of the most toxic passage of each text; 0 if it has none.
+
+        `others` has, by text, the expressions with a difference that the broadcast tier does not hold.
+        """
         out = np.zeros(len(texts))
-        if not len(self.gains) or not texts:
+        if not texts or not len(self.gains) and others is None:
             return out
         keys = [_keys(folded(t, 1)) for t in texts]
         sizes = np.array([len(k) for k in keys], dtype=np.int64)
         every = np.concatenate(keys)
         rows = np.concatenate([self.array.rows(every[i : i + 1_000_000]) for i in range(0, len(every), 1_000_000)]) if len(every) else every
-        gains = np.where(rows >= 0, self.gains[np.maximum(rows, 0)], np.float32(0)) if len(rows) else rows
-        sums = np.concatenate([[0.0], np.cumsum(gains, dtype=np.float64)])
+        gains = np.zeros(len(rows), dtype=np.float32)
+        gains[rows >= 0] = self.gains[rows[rows >= 0]]
         ends = np.cumsum(sizes)
         begins = ends - sizes
+        for i, listed in enumerate(others or []):
+            if listed:
+                known = HashArray(np.array([g["gram"] for g in listed], dtype=np.int64).view(np.uint64))
+                place = known.rows(keys[i])
+                at = np.flatnonzero(place >= 0)
+                gains[begins[i] + at] = np.array([g["gain"] for g in listed], dtype=np.float32)[place[at]]
+        sums = np.concatenate([[0.0], np.cumsum(gains, dtype=np.float64)])
         full = np.flatnonzero(sizes > PASSAGE)
         for i in np.flatnonzero((sizes > 0) & (sizes <= PASSAGE)):
             out[i] = (sums[ends[i]] - sums[begins[i]]) / sizes[i]
@@ -159,21 +180,49 @@ _scorers: dict[int, Scorer] = {}
 
 
 def passages(rows: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """key and `passage`: the most toxic passage's difference of every row; a null text counts as empty."""
-    shared = rows.sparkSession.sparkContext.broadcast((id(model), model))
+    """key and `passage`: the most toxic passage's difference of every row; a null text counts as empty.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Expressions beyond the broadcast tier are joined: each distinct text, known by 128 bits of hash, sends its own once, and
+    gets back those that have a difference.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((id(model), Model(model.keys, model.gains)))
+
+    def scorer() -> Scorer:
         number = shared.value[0]
         if number not in _scorers:
             _scorers.clear()
             _scorers[number] = Scorer(shared.value[1])
+        return _scorers[number]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text):
-                found = _scorers[number].passages([t or "" for t in part.column(1).to_pylist()])
+                others = part.column(2).to_pylist() if part.num_columns > 2 else None
+                found = scorer().passages([t or "" for t in part.column(1).to_pylist()], others)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(found)], names=[key, "passage"])
 
-    kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key, text).mapInArrow(run, f"`{key}` {kind}, passage double")
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, text):
+                lists = [scorer().others(t) for t in part.column(2).to_pylist()]
+                owner = np.repeat(np.arange(len(lists)), [len(x) for x in lists])
+                if len(owner):
+                    grams = pa.array(np.concatenate(lists).view(np.int64))
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(owner)), part.column(1).take(pa.array(owner)), grams], names=["a", "b", "gram"])
+
+    schema = f"`{key}` {rows.schema[key].dataType.simpleString()}, passage double"
+    rows = rows.select(key, text)
+    if model.rest is None:
+        return rows.mapInArrow(run, schema)
+    hashes = F.xxhash64(text), F.xxhash64(F.lit(1), text)
+    texts = rows.where(F.col(text).isNotNull()).select(hashes[0].alias("a"), hashes[1].alias("b"), text)
+    sent = texts.mapInArrow(send, "a long, b long, gram long").distinct()
+    found = materialise(sent.join(model.rest, "gram"), "toxic-others")
+    a, b, listed = (fresh_name(rows, name) for name in ("a", "b", "listed"))
+    lists = found.groupBy(F.col("a").alias(a), F.col("b").alias(b)).agg(F.collect_list(F.struct("gram", "gain")).alias(listed))
+    lists = F.broadcast(lists) if small_enough(found) else lists
+    whole = rows.withColumns({a: hashes[0], b: hashes[1]}).join(lists, [a, b], "left")
+    return whole.select(key, text, listed).mapInArrow(run, schema)
 
 
 def curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
@@ -203,7 +252,7 @@ def curve(bins: list[tuple[float, int, int]]) -> tuple[float, float]:
     return float(weights[0]), max(float(weights[1]), 1e-3)
 
 
-def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def scores(docs: DataFrame, labels: DataFrame, most: int = MODEL_GRAMS) -> DataFrame:
     """doc_id, held_out, passage, score, predicted of every document.
 
     Labels of held-out documents are not read. Labels are broadcast up to a checked size, beyond it joined by a shuffle.
@@ -215,7 +264,7 @@ def scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
     learn = docs.where(ids & ~kept_out & F.col("text").isNotNull()).select("doc_id", "text").join(broadcast_if_small(known), "doc_id")
     fits = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == CURVE_FOLD
     learn = learn.withColumn("for_curve", fits)
-    whole, part = train(learn)
+    whole, part = train(learn, most)
     evidence = F.log(F.lit(FLOOR) + F.greatest(F.col("passage"), F.lit(0.0)))
     unseen = passages(learn.where("for_curve").select(F.struct("doc_id", "toxic").alias("row"), "text"), part, key="row")
     binned = unseen.groupBy(F.floor(evidence / BIN).alias("b")).agg(

@@ -187,6 +187,17 @@ def test_held_out_labels_are_not_read(spark):
     assert a == pytest.approx(b)
 
 
+def test_toxic_expressions_beyond_the_broadcast_tier_count(spark):
+    docs, marks = toxic_corpus(300, 8)
+    docs += docs[:40] + [(9000, None), (9001, "")]
+    frame, known = spark.createDataFrame(docs, "doc_id long, text string").repartition(4), spark.createDataFrame(marks, "doc_id long, toxic int")
+    everything, small, none = (sorted(tuple(r) for r in toxicity.scores(frame, known, most=most).collect()) for most in (1_000_000, 300, 0))
+    assert len(everything) == len(docs) and any(r[2] > 0 for r in everything)
+    for found in (small, none):
+        assert [r[:2] for r in found] == [r[:2] for r in everything]
+        assert np.allclose([r[2:] for r in found], [r[2:] for r in everything])
+
+
 def test_curve():
     offset, slope = toxicity.curve([(-2.0, 0, 500), (-1.0, 5, 200), (0.0, 60, 60), (1.0, 300, 2)])
     assert slope > 2 and abs(offset) < 0.5
