@@ -26,8 +26,6 @@ from newsgraph.scratch import materialise
 RUN = 6
 # Expressions that the broadcast tier holds at most: 8 bytes a key, 4 a value. The others are joined; none is left out.
 MODEL_GRAMS = 1_000_000
-# An expression seen less often than this in all tells the classes nothing.
-LEAST_COUNT = 4
 # Offset and slope of the curve where there is nothing to fit it to.
 PRIOR = (-2.0, 4.0)
 # Occurrences that an expression borrows from the counts of both classes, dealt to each by its size.
@@ -123,7 +121,7 @@ def train(rows: DataFrame, most: int = MODEL_GRAMS) -> tuple[Model, Model]:
         if not sums[f"{tag}t"] or not sums[f"{tag}o"]:
             models.append(Model(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.float32)))
             continue
-        gains = counts.where(f"{toxic} + {ordinary} >= {LEAST_COUNT}").select(
+        gains = counts.where(f"{toxic} + {ordinary} > 0").select(
             "gram", F.expr(_gain(toxic, ordinary, sums, tag)).cast("float").alias("gain"), F.expr(f"{toxic} + {ordinary}").alias("n")
         )
         frequent = bounded(gains, most)

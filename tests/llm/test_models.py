@@ -198,6 +198,14 @@ def test_toxic_expressions_beyond_the_broadcast_tier_count(spark):
         assert np.allclose([r[2:] for r in found], [r[2:] for r in everything])
 
 
+def test_expressions_seen_once_count(spark):
+    docs, marks = toxic_corpus(100, 9)
+    rows = [(t, m, False) for (_, t), (_, m) in zip(docs, marks, strict=True)] + [("qwxyzj", 1, False)]
+    model, _ = toxicity.train(spark.createDataFrame(rows, "text string, toxic int, for_curve boolean"))
+    assert toxicity.Scorer(model).passages(["qwxyzj", "vvvvvv"]).tolist() == [pytest.approx(0.7, abs=0.6), 0.0]
+    assert toxicity.Scorer(model).passages(["qwxyzj"])[0] > 0.1
+
+
 def test_curve():
     offset, slope = toxicity.curve([(-2.0, 0, 500), (-1.0, 5, 200), (0.0, 60, 60), (1.0, 300, 2)])
     assert slope > 2 and abs(offset) < 0.5
