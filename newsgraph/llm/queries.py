@@ -10,7 +10,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from newsgraph.llm import bpe, covertree, langid, mixing, quality, simhash, sql, substring, token_counts, toxicity, variants, warc, whitening
+from newsgraph.llm import bpe, covertree, langid, lmscore, mixing, quality, simhash, sql, substring, token_counts, toxicity, variants, warc, whitening
 
 MIX_SEED = 17
 
@@ -72,6 +72,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), words=3, distance=2)
 
 
+def op11_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of all documents by a self-attention model of subwords, beside the unigram base."""
+    subwords = lmscore.Subwords.read(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return lmscore.scores(_table(spark, sf_dir, "documents"), subwords)
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their most frequent near word and the root that such words lead to."""
     return variants.spelling_variants(_table(spark, sf_dir, "documents"))
@@ -93,6 +99,7 @@ QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]]
     "op8_warc": (op8_warc, sql.WARC),
     "op9_poisson_mix": (op9_poisson_mix, sql.poisson_mix(MIX_SEED)),
     "op10_simhash": (op10_simhash, None),
+    "op11_lm_scores": (op11_lm_scores, None),
     "op12_spelling_variants": (op12_spelling_variants, sql.SPELLING_VARIANTS),
     "op13_whitening": (op13_whitening, None),
 }
