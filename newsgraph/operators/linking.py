@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsgraph import lexicon as lx
-from newsgraph.functions.similarity import levenshtein_ratio, matching_ratio, trigrams
-from newsgraph.operators.scale import HOT_ROWS, lookup_join, range_rank
+from newsgraph.functions.similarity import levenshtein_ratio, matching_ratio, trigram_codes
+from newsgraph.operators.scale import HOT_ROWS, broadcast_if_small, lookup_join, range_rank
 from newsgraph.scratch import materialise
 
 
@@ -100,19 +100,30 @@ def confidence_of(score: Column, similarity: Column) -> Column:
     return F.coalesce(score, similarity)
 
 
-def link_texts(mentions: DataFrame, catalogue: DataFrame, builtin_similarity: bool = False) -> DataFrame:
+def link_texts(mentions: DataFrame, catalogue: DataFrame, builtin_similarity: bool = False, fuzzy: float | None = None) -> DataFrame:
     """(text, n, uri, confidence): the link of every distinct mention text that has a candidate.
 
-    A candidate without an item, or with a score that is no number, gives an empty uri and confidence 0.1. The
-    similarity runs once per distinct text, and the Python function sees nulls where the score makes it needless.
+    Without `fuzzy` only equal keys are candidates. With it the catalogue is searched: the label most like the text is
+    its candidate, if their trigrams reach that Jaccard similarity. A candidate without an item, or with a score that is
+    no number, gives an empty uri and confidence 0.1. The similarity runs once per distinct text.
     """
-    found = distinct_texts(mentions).join(best_candidates(catalogue), "key")
+    return linked_texts(mentions, catalogue, builtin_similarity, fuzzy).select("text", "n", "uri", "confidence")
+
+
+def linked_texts(mentions: DataFrame, catalogue: DataFrame, builtin_similarity: bool = False, fuzzy: float | None = None) -> DataFrame:
+    """`link_texts` with the label and its score, as the candidate has them, and the similarity of keys (1 if equal)."""
+    texts, best = distinct_texts(mentions), best_candidates(catalogue)
+    if fuzzy is None:
+        found = texts.join(best, "key").withColumn("jaccard", F.lit(1.0))
+    else:
+        near = nearest_labels(texts, catalogue, fuzzy)
+        found = texts.join(near, "key").join(best.withColumnRenamed("key", "label_key"), "label_key")
     malformed = F.col("item").isNull() | F.col("bad_score")
     compare = ~malformed & F.col("score").isNull()
     ratio = levenshtein_ratio if builtin_similarity else matching_ratio
     similarity = ratio(F.when(compare, F.col("text")), F.when(compare, F.coalesce("label", F.lit(""))))
     return found.select(
-        "text", "n",
+        "text", "n", "label", "score", "jaccard",
         F.when(malformed, F.lit("")).otherwise(F.col("item")).alias("uri"),
         F.when(malformed, F.lit(lx.MALFORMED_CONFIDENCE)).otherwise(confidence_of(F.col("score"), similarity)).alias("confidence"),
     )
@@ -124,13 +135,15 @@ def link_mentions(
     threshold: float | None = lx.ENTITY_THRESHOLD,
     builtin_similarity: bool = False,
     hot_rows: int = HOT_ROWS,
+    fuzzy: float | None = None,
 ) -> DataFrame:
     """(article_id, pos, text, type, uri, confidence) of the linked mentions with confidence >= threshold.
 
-    Mentions without a candidate are dropped. The threshold is applied to the links before they meet the mentions. The
-    links, one row per distinct text, are written to the shared folder: the join reads them twice.
+    Mentions without a candidate are dropped; `fuzzy` searches for one, see `link_texts`. The threshold is applied to the
+    links before they meet the mentions. The links, one row per distinct text, are written to the shared folder: the join
+    reads them twice.
     """
-    links = link_texts(mentions, catalogue, builtin_similarity)
+    links = link_texts(mentions, catalogue, builtin_similarity, fuzzy)
     if threshold is not None:
         links = links.where(F.col("confidence") >= F.lit(threshold))
     links = materialise(links, "links")
@@ -151,60 +164,89 @@ def _in_parts(side: DataFrame, identity: str, own: str, other: str) -> DataFrame
     return side.withColumn(own, mine).withColumn(other, F.explode(F.sequence(F.lit(0), copies - 1)))
 
 
+def _distinct_keys(column: Column, rows: DataFrame, name: str, identity: str) -> DataFrame:
+    """(identity, name): every key of a column once, numbered; written, as numbers must not change between uses."""
+    keys = rows.select(lookup_key(column).alias(name)).where(F.col(name) != "").distinct()
+    return materialise(keys.select(F.monotonically_increasing_id().alias(identity), name), "keys")
+
+
+def _rare_first(keys: DataFrame, name: str, identity: str, frequency: DataFrame, own: str) -> DataFrame:
+    """(identity, grams): the trigrams of every key, from rare to frequent among the labels."""
+    rows = keys.select(identity, F.explode(trigram_codes(F.col(name))).alias("gram"))
+    rows = lookup_join(rows, frequency, "gram", own, [identity])
+    ordered = F.array_sort(F.collect_list(F.struct("n_labels", "gram")))
+    return materialise(rows.groupBy(identity).agg(F.transform(ordered, lambda g: g["gram"]).alias("grams")), "trigrams")
+
+
+def _prefixes(sets: DataFrame, identity: str, threshold: float) -> DataFrame:
+    """(gram, identity, size, place, before): the trigrams by which a set is found, and those before each of them."""
+    size = F.size("grams")
+    keep = (size - F.ceil(F.lit(threshold) * size - F.lit(1e-9)) + 1).cast("int")
+    rows = sets.select(identity, size.alias("size"), F.slice("grams", F.lit(1), keep).alias("prefix"))
+    rows = rows.select(identity, "size", "prefix", F.posexplode("prefix").alias("place", "gram"))
+    return rows.select("gram", identity, "size", "place", F.slice("prefix", F.lit(1), F.col("place")).alias("before"))
+
+
 def fuzzy_candidates(mentions: DataFrame, catalogue: DataFrame, threshold: float = 0.5, hot_block: int = 10_000) -> DataFrame:
     """(text, label, overlap, jaccard): distinct texts and labels whose character trigrams reach the Jaccard threshold.
 
-    Exact set-similarity join by prefix filtering: order each string's trigrams from rare to frequent; two strings
-    can only reach the threshold if they share a trigram among the first n - ceil(t * n) + 1 of each. Only those
-    trigrams are joined, within the length bounds the threshold implies, so a frequent trigram meets few partners.
-    Blocks with more than `hot_block` rows on a side are spread over several tasks; nothing is dropped. Hot blocks are
-    the only thing broadcast, and there are at most (prefix rows / hot_block) of them.
+    Exact set-similarity join by prefix and positional filtering: order each string's trigrams from rare to frequent; two
+    strings can only reach the threshold if they share a trigram among the first n - ceil(t * n) + 1 of each. A pair is
+    kept at its first common trigram only, and only if what follows there in both can still bring the overlap up to the
+    threshold. Numbers and sizes travel to that join; whole trigram sets meet the pairs that are left, once. Blocks with
+    more than `hot_block` rows on a side are spread over several tasks; nothing is dropped.
     """
-    texts = mentions.select(lookup_key(F.col("text")).alias("text")).distinct().where("text <> ''")
-    labels = catalogue.select(lookup_key(F.col("label")).alias("label")).distinct().where("label <> ''")
-    text_grams = texts.select("text", trigrams(F.col("text")).alias("grams"))
-    label_grams = labels.select("label", trigrams(F.col("label")).alias("grams"))
+    texts = _distinct_keys(F.col("text"), mentions, "text", "tid")
+    labels = _distinct_keys(F.col("label"), catalogue, "label", "lid")
     # Any fixed order of trigrams is exact; the order by label frequency keeps the blocks small.
-    occurrences = text_grams.select(F.explode("grams").alias("gram"), F.lit(1).alias("t"), F.lit(0).alias("l")).union(
-        label_grams.select(F.explode("grams").alias("gram"), F.lit(0).alias("t"), F.lit(1).alias("l"))
+    occurrences = texts.select(F.explode(trigram_codes(F.col("text"))).alias("gram"), F.lit(1).alias("t"), F.lit(0).alias("l")).union(
+        labels.select(F.explode(trigram_codes(F.col("label"))).alias("gram"), F.lit(0).alias("t"), F.lit(1).alias("l"))
     )
-    frequency = materialise(
-        occurrences.groupBy("gram").agg(F.sum("t").alias("n_texts"), F.sum("l").alias("n")), "trigram-frequency"
-    )
-
-    def prefixes(side: DataFrame, name: str, own: str) -> DataFrame:
-        rows = side.select(name, "grams", F.size("grams").alias("size"), F.explode("grams").alias("gram"))
-        rows = lookup_join(rows, frequency, "gram", own, [name])
-        order = Window.partitionBy(name).orderBy("n", "gram")
-        keep = F.col("size") - F.ceil(F.lit(threshold) * F.col("size") - F.lit(1e-9)) + 1
-        rows = rows.withColumn("_rn", F.row_number().over(order)).where((F.col("_rn") <= keep) & (F.col("n") > 0))
-        return materialise(rows.select(name, "grams", "size", "gram"), "trigram-prefixes")
-
-    left = prefixes(text_grams, "text", "n_texts")
-    right = prefixes(label_grams, "label", "n").select(
-        "label", F.col("grams").alias("label_grams"), F.col("size").alias("label_size"), "gram"
+    counted = occurrences.groupBy("gram").agg(F.sum("t").alias("n_texts"), F.sum("l").alias("n_labels"))
+    frequency = materialise(counted, "trigram-frequency")
+    text_sets = _rare_first(texts, "text", "tid", frequency, "n_texts")
+    label_sets = _rare_first(labels, "label", "lid", frequency, "n_labels")
+    left = _prefixes(text_sets, "tid", threshold)
+    right = _prefixes(label_sets, "lid", threshold).select(
+        "gram", "lid", *[F.col(c).alias(f"label_{c}") for c in ("size", "place", "before")]
     )
     # Split both sides of a hot block into parts; each part of one side meets every part of the other.
     blocks = left.groupBy("gram").agg(F.count(F.lit(1)).alias("_texts")).join(
         right.groupBy("gram").agg(F.count(F.lit(1)).alias("_labels")), "gram"
     )
-    hot = F.broadcast(
-        blocks.where((F.col("_texts") > hot_block) | (F.col("_labels") > hot_block)).select(
-            "gram",
-            F.ceil(F.col("_texts") / hot_block).cast("int").alias("_tparts"),
-            F.ceil(F.col("_labels") / hot_block).cast("int").alias("_lparts"),
-        )
+    hot = blocks.where((F.col("_texts") > hot_block) | (F.col("_labels") > hot_block)).select(
+        "gram",
+        F.ceil(F.col("_texts") / hot_block).cast("int").alias("_tparts"),
+        F.ceil(F.col("_labels") / hot_block).cast("int").alias("_lparts"),
     )
-    left = _in_parts(left.join(hot, "gram", "left"), "text", "_tparts", "_lparts")
-    right = _in_parts(right.join(hot, "gram", "left"), "label", "_lparts", "_tparts")
+    hot = materialise(hot, "hot-trigrams")
+    hot = broadcast_if_small(hot)
+    left = _in_parts(left.join(hot, "gram", "left"), "tid", "_tparts", "_lparts")
+    right = _in_parts(right.join(hot, "gram", "left"), "lid", "_lparts", "_tparts")
+    both = F.col("size") + F.col("label_size")
     near = (F.col("label_size") >= F.lit(threshold) * F.col("size")) & (F.col("size") >= F.lit(threshold) * F.col("label_size"))
-    overlap = F.size(F.array_intersect("grams", "label_grams"))
-    pairs = left.join(right, ["gram", "_tparts", "_lparts"]).where(near).select(
-        "text", "label", overlap.alias("overlap"), (F.col("size") + F.col("label_size")).alias("both")
+    reach = F.least(F.col("size") - F.col("place"), F.col("label_size") - F.col("label_place"))
+    enough = reach >= F.lit(threshold / (1 + threshold)) * both - F.lit(1e-9)
+    first = ~F.arrays_overlap("before", "label_before")
+    pairs = left.join(right, ["gram", "_tparts", "_lparts"]).where(near & enough & first).select("tid", "lid")
+    pairs = pairs.join(broadcast_if_small(text_sets), "tid").join(broadcast_if_small(label_sets.withColumnRenamed("grams", "label_grams")), "lid")
+    pairs = pairs.select(
+        "tid", "lid", F.size(F.array_intersect("grams", "label_grams")).alias("overlap"), (F.size("grams") + F.size("label_grams")).alias("both")
     )
     union = F.col("both") - F.col("overlap")
-    return (
-        pairs.where(F.col("overlap") >= F.lit(threshold) * union)
-        .select("text", "label", "overlap", (F.col("overlap") / union).alias("jaccard"))
-        .distinct()
-    )
+    pairs = pairs.where(F.col("overlap") >= F.lit(threshold) * union)
+    named = pairs.join(broadcast_if_small(texts), "tid").join(broadcast_if_small(labels), "lid")
+    return named.select("text", "label", "overlap", (F.col("overlap") / union).alias("jaccard"))
+
+
+def nearest_labels(texts: DataFrame, catalogue: DataFrame, threshold: float) -> DataFrame:
+    """(key, label_key, jaccard): the label key most like each key of `texts`, if one reaches the threshold.
+
+    Ties go to the equal key, then to the label nearest in length, then to the one that sorts first. The best one is found
+    by a minimum, which combines before the shuffle, so a text with very many similar labels is no large group.
+    """
+    pairs = fuzzy_candidates(texts, catalogue, threshold)
+    away = F.abs(F.char_length("text") - F.char_length("label"))
+    order = F.struct((-F.col("jaccard")).alias("j"), (F.col("text") != F.col("label")).alias("other"), away.alias("away"), F.col("label").alias("label_key"))
+    best = pairs.groupBy(F.col("text").alias("key")).agg(F.min(order).alias("best"))
+    return best.select("key", "best.label_key", (-F.col("best.j")).alias("jaccard"))

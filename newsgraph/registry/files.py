@@ -12,7 +12,7 @@ from newsgraph.registry import found as fd
 from newsgraph.registry import graph as gr
 from newsgraph.registry import oracle as o
 from newsgraph.registry import tables as tb
-from newsgraph.registry.inputs import articles, labelled_events, longs, table, turns
+from newsgraph.registry.inputs import all_turns, articles, labelled_events, longs, table
 from newsgraph.scratch import fresh_path
 from newsgraph.sources import readers as rd
 from newsgraph.sources import sinks as sk
@@ -40,7 +40,7 @@ def read_unnumbered_articles(spark, sf_dir):
 
 def read_sentences(spark, sf_dir):
     path = fresh_path(spark, "sentences") + ".json"
-    sk.write_table(turns(spark, sf_dir), path, "json")
+    sk.write_table(all_turns(spark, sf_dir), path, "json")
     return rd.read_sentences(spark, path, schema="article_id long, Sentence string")
 
 
@@ -61,7 +61,7 @@ def read_triples(spark, sf_dir):
 
 def read_by_suffix(spark, sf_dir):
     """The same turns through every format; Excel and unknown suffixes are refused."""
-    rows, out = turns(spark, sf_dir), None
+    rows, out = all_turns(spark, sf_dir), None
     for fmt, suffix in (("csv", "csv"), ("json", "json"), ("parquet", "parquet"), ("orc", "orc")):
         path = f"{fresh_path(spark, 'by-suffix')}.{suffix}"
         sk.write_table(rows, path, fmt)
@@ -167,13 +167,13 @@ QUERIES = {
     "src1_unnumbered_articles": (read_unnumbered_articles, """
         SELECT row_number() OVER (ORDER BY doc_id) - 1 AS article_id, row_number() OVER (ORDER BY doc_id) - 1 AS ord,
                source AS url, text FROM documents"""),
-    "src2_sentences": (read_sentences, o.sql(f"SELECT article_id, {_SENTENCE} AS \"Sentence\" FROM turns")),
+    "src2_sentences": (read_sentences, o.sql(f"SELECT article_id, {_SENTENCE} AS \"Sentence\" FROM all_turns")),
     "src3_triples_text": (read_triples, f"""
         SELECT event_id::VARCHAR AS "Entity1", CASE WHEN event_type <> 'error' THEN event_type END AS "Predicate",
                user_id::VARCHAR AS "Entity2", {_LINE} AS "Sentence" FROM events"""),
     "src4_by_suffix": (read_by_suffix, o.sql(f"""
         SELECT format, count(*) AS n, sum(length({_SENTENCE}))::BIGINT AS chars, 3::BIGINT AS refused
-        FROM turns, (VALUES ('csv'), ('json'), ('parquet'), ('orc')) f(format) GROUP BY format
+        FROM all_turns, (VALUES ('csv'), ('json'), ('parquet'), ('orc')) f(format) GROUP BY format
         UNION ALL SELECT 'txt', count(*), sum(length({_LINE}))::BIGINT, 3::BIGINT FROM events""")),
     "src5_labelled_triples": (read_labelled, o.sql("SELECT id, entity1, predicate, entity2 FROM triples")),
     "src6_splits": (read_splits, o.sql("""

@@ -11,7 +11,7 @@ from newsgraph.operators import knowledge as kb
 from newsgraph.operators import linking as ln
 from newsgraph.operators import mentions as mn
 from newsgraph.registry import oracle as o
-from newsgraph.registry.inputs import articles, catalogue, gazetteer, longs, table, turns
+from newsgraph.registry.inputs import articles, catalogue, gazetteer, longs, misspelt, table, turns
 from newsgraph.scratch import materialise
 
 
@@ -119,6 +119,23 @@ def links(spark, sf_dir):
     return ln.link_texts(found(spark, sf_dir), catalogue(spark, sf_dir)).withColumn("confidence", F.round("confidence", 6))
 
 
+FUZZY = 0.6
+
+
+def fuzzy_links(spark, sf_dir):
+    """Link of every distinct text by search; confidences that are no score are left to lnk8_link_confidence and pytest."""
+    rows = ln.linked_texts(found(spark, sf_dir), misspelt(catalogue(spark, sf_dir)), fuzzy=FUZZY)
+    scored = F.when(F.col("score").isNotNull() | (F.col("uri") == ""), F.round("confidence", 6))
+    return rows.select("text", "n", "label", "uri", F.round("jaccard", 6).alias("jaccard"), scored.alias("confidence"))
+
+
+def fuzzy_linked_rows(spark, sf_dir):
+    """Mentions whose candidate by search has a score that passes the threshold."""
+    scored = misspelt(catalogue(spark, sf_dir).where("score IS NOT NULL"))
+    rows = ln.link_mentions(found(spark, sf_dir), scored, fuzzy=FUZZY)
+    return longs(rows.withColumn("confidence", F.round("confidence", 6)))
+
+
 def malformed(spark, sf_dir):
     rows = ln.link_texts(found(spark, sf_dir), catalogue(spark, sf_dir))
     return rows.where("uri = ''").select("text", "n", "uri", "confidence")
@@ -155,6 +172,30 @@ _FUZZY = f"""
 o.CTES["fuzzy_texts"] = "SELECT DISTINCT lower(trim(text)) AS s FROM doc_mentions WHERE trim(text) <> ''"
 o.CTES["fuzzy_labels"] = "SELECT DISTINCT lower(trim(label)) AS s FROM catalogue WHERE trim(label) <> ''"
 o.CTES["fuzzy_pairs"] = _FUZZY
+_BEST = """
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY key ORDER BY score DESC NULLS LAST, item ASC NULLS LAST, label) AS rn
+                   FROM {source}) WHERE rn = 1"""
+o.CTES["misspelt"] = """
+    SELECT lower(trim(label)) AS key, * FROM (
+        SELECT CASE WHEN length(trim(label)) >= 6 THEN substr(label, 1, 3) || substr(label, 3) ELSE label END AS label, item, score FROM catalogue)"""
+o.CTES["misspelt_scored"] = "SELECT * FROM misspelt WHERE score IS NOT NULL"
+for _name in ("misspelt", "misspelt_scored"):
+    o.CTES[f"{_name}_labels"] = f"SELECT DISTINCT key AS s FROM {_name} WHERE key <> ''"
+    o.CTES[f"{_name}_pairs"] = _FUZZY.replace("fuzzy_labels", f"{_name}_labels")
+    o.CTES[f"{_name}_nearest"] = f"""
+        SELECT text AS key, label AS label_key, jaccard FROM (
+            SELECT *, row_number() OVER (PARTITION BY text ORDER BY jaccard DESC, text <> label, abs(length(text) - length(label)), label) AS rn
+            FROM {_name}_pairs) WHERE rn = 1"""
+    o.CTES[f"{_name}_best"] = _BEST.format(source=_name)
+o.CTES["fuzzy_links"] = """
+    SELECT m.text, m.n, b.label, CASE WHEN b.item IS NULL THEN '' ELSE b.item END AS uri, round(s.jaccard, 6) AS jaccard,
+           CASE WHEN b.item IS NULL THEN 0.1::DOUBLE ELSE round(b.score, 6) END AS confidence
+    FROM mention_texts m JOIN misspelt_nearest s ON s.key = lower(trim(m.text)) JOIN misspelt_best b ON b.key = s.label_key"""
+o.CTES["fuzzy_linked"] = """
+    SELECT d.article_id, d.pos, d.text, d.label AS type, coalesce(b.item, '') AS uri,
+           round(CASE WHEN b.item IS NULL THEN 0.1::DOUBLE ELSE b.score END, 6) AS confidence
+    FROM doc_mentions d JOIN misspelt_scored_nearest s ON s.key = lower(trim(d.text)) JOIN misspelt_scored_best b ON b.key = s.label_key
+    WHERE CASE WHEN b.item IS NULL THEN 0.1::DOUBLE ELSE b.score END >= 0.5::DOUBLE"""
 o.refresh()
 
 _LINKED = "round(confidence, 6) AS confidence"
@@ -195,6 +236,8 @@ QUERIES = {
         SELECT DISTINCT p_name AS text, lower(p_type) AS label, round(1.0::DOUBLE - levenshtein(p_name, lower(p_type))::DOUBLE
                / greatest(length(p_name), length(p_type)), 6) AS similarity FROM part"""),
     "lnk8_link_confidence": (links, o.sql(f"SELECT text, n, uri, {_LINKED} FROM links")),
+    "lnk8_fuzzy_links": (fuzzy_links, o.sql("SELECT * FROM fuzzy_links")),
+    "lnk11_fuzzy_linked": (fuzzy_linked_rows, o.sql("SELECT * FROM fuzzy_linked")),
     "lnk9_malformed_candidates": (malformed, o.sql("""
         SELECT text, n, '' AS uri, 0.1::DOUBLE AS confidence FROM pairs WHERE rank = 1 AND item IS NULL""")),
     "lnk10_unlinked_texts": (unlinked, o.sql("""

@@ -58,8 +58,19 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def misspelt(labels: DataFrame) -> DataFrame:
+    """A catalogue with the third letter of every label of six or more doubled, so that it has to be searched."""
+    return labels.withColumn("label", F.when(
+        F.char_length(F.trim("label")) >= 6, F.concat(F.substring("label", 1, 3), F.expr("substring(label, 3)"))).otherwise(F.col("label")))
+
+
+def all_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conversations as sentences with an id, every turn with its text."""
+    return table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("article_id"), F.col("text").alias("Sentence"))
+
+
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """conversations as sentences with an id; the user's turns are null."""
+    """conversations as sentences with an id; the user's turns are null, for what fills or skips nulls."""
     return table(spark, sf_dir, "conversations").select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("article_id"),
         F.when(F.col("role") != "user", F.col("text")).alias("Sentence"),

@@ -149,6 +149,7 @@ def mention_ctes(prefix: str, source: str, text: str, capitalised: bool = True)
 
 CTES: dict[str, str] = {
     "articles": "SELECT doc_id AS article_id, doc_id AS ord, source || '/' || doc_id AS url, text FROM documents",
+    "all_turns": "SELECT conv_id * 1000 + turn AS article_id, text AS \"Sentence\" FROM conversations",
     "turns": """
         SELECT conv_id * 1000 + turn AS article_id, CASE WHEN role <> 'user' THEN text END AS "Sentence"
         FROM conversations""",

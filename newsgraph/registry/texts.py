@@ -9,7 +9,7 @@ from newsgraph.functions import text as tx
 from newsgraph.operators import summary as sm
 from newsgraph.plans import articles as plan
 from newsgraph.registry import oracle as o
-from newsgraph.registry.inputs import articles, gazetteer, labelled_events, longs, table, turns
+from newsgraph.registry.inputs import all_turns, articles, gazetteer, labelled_events, longs, table, turns
 from newsgraph.sources import readers as rd
 
 
@@ -66,9 +66,8 @@ def required_columns(spark, sf_dir):
 
 
 def url_removal(spark, sf_dir):
-    """Links of pages, with text on both sides, beside the documents that have none."""
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.concat(F.lit("see "), "url", F.lit(" now")).alias("t"))
-    return pages.select("id", tx.strip_urls(F.col("t")).alias("value"))
+    """Links inside the markup of pages."""
+    return table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), tx.strip_urls(F.col("html")).alias("value"))
 
 
 def cleaned_pages(spark, sf_dir):
@@ -117,7 +116,7 @@ def summaries(spark, sf_dir):
 
 
 def prepared_sentences(spark, sf_dir):
-    rows = plan.prepare_sentences(turns(spark, sf_dir), gazetteer(spark, sf_dir))
+    rows = plan.prepare_sentences(all_turns(spark, sf_dir), gazetteer(spark, sf_dir))
     found = F.transform("mentions", lambda m: F.concat_ws("/", m["pos"].cast("string"), m["text"], m["label"]))
     return rows.select("article_id", F.col("Sentence").alias("sentence"), F.array_join(found, ";").alias("mentions"))
 
@@ -134,7 +133,7 @@ _TURN_SQL = "coalesce(\"Sentence\", '')"
 _STOP_FILTERED = f"array_to_string(list_filter({o.tokens_of('lower(text)')}, lambda w: w NOT IN {o.STOP}), ' ')"
 _MENTION_LIST = "string_agg(pos || '/' || text || '/' || label, ';' ORDER BY pos)"
 
-o.CTES["clean_turns"] = f"SELECT article_id, {o.clean(_TURN_SQL)} AS sentence FROM turns"
+o.CTES["clean_turns"] = f"SELECT article_id, {o.clean(_TURN_SQL)} AS sentence FROM all_turns"
 o.CTES.update(o.mention_ctes("turn_", "clean_turns", "sentence", capitalised=False))
 o.refresh()
 
@@ -152,7 +151,7 @@ QUERIES = {
     "prj7_required_columns": (required_columns, """
         SELECT event_type AS predicate, count(*) AS n, 'missing required columns: entity1, entity2' AS message
         FROM events GROUP BY event_type"""),
-    "txt1_urls": (url_removal, f"SELECT page_id AS id, {o.urls(chr(39) + 'see ' + chr(39) + ' || url || ' + chr(39) + ' now' + chr(39))} AS value FROM pages"),
+    "txt1_urls": (url_removal, f"SELECT page_id AS id, {o.urls('html')} AS value FROM pages"),
     "txt2_special_characters": (_documents(tx.strip_special), _doc_sql(o.special("text"))),
     "txt3_hyphens": (_documents(tx.strip_hyphens), _doc_sql(o.hyphens("text"))),
     "txt4_digits": (_documents(tx.strip_digits), _doc_sql(o.digits("text"))),
