@@ -21,5 +21,5 @@ def all_sql() -> dict[str, str]:
 
 def forget_staged() -> None:
     """Drop the session's memory of staged tables, so that the next query computes its inputs again."""
-    for staged in (found.found, found.linked, graph.kept_relations, graph._run):
+    for staged in (found.found, found.linked, graph.kept_relations, graph.streamed, graph._run):
         staged.cache_clear()

@@ -167,10 +167,16 @@ def default_confidence_edges(spark, sf_dir):
     return kb.edges(rows)
 
 
-def streamed_entities(spark, sf_dir):
-    """The documents as a stream of files; the merged batches must equal one run over all of them."""
-    path, checkpoint = fresh_path(spark, "kb-stream"), fresh_path(spark, "kb-checkpoint")
+STREAM_FILES = 4
+
+
+@lru_cache(maxsize=4)
+def streamed(spark, sf_dir):
+    """The documents as a stream of several files, a micro-batch each, out of order; folded, and read back."""
+    path, checkpoint, files = (fresh_path(spark, name) for name in ("kb-stream", "kb-checkpoint", "kb-files"))
     dictionary, candidates = gazetteer(spark, sf_dir), catalogue(spark, sf_dir)
+    documents = table(spark, sf_dir, "documents")
+    documents.repartition(STREAM_FILES, F.col("doc_id") % STREAM_FILES).write.parquet(files)
 
     def analyse(batch):
         docs = batch.select(
@@ -182,10 +188,27 @@ def streamed_entities(spark, sf_dir):
         triples = rl.of_linked_articles(rl.confident(rl.relations_of_text(docs)), linked)
         return kb.with_arrival(linked, docs), kb.with_arrival(triples, docs)
 
-    schema = table(spark, sf_dir, "documents").schema
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "documents.parquet").parquet(sf_dir)
+    source = spark.readStream.schema(documents.schema).option("maxFilesPerTrigger", 1).parquet(files)
     stream.maintain(source, analyse, path, checkpoint).awaitTermination()
-    return _rounded(stream.read_knowledge_base(spark, path)["entities"])
+    stream.compact(spark, path)
+    return stream.read_knowledge_base(spark, path)
+
+
+def streamed_entities(spark, sf_dir):
+    """The merged batches must equal one run over all documents."""
+    return _rounded(streamed(spark, sf_dir)["entities"])
+
+
+def streamed_lists(spark, sf_dir):
+    return streamed(spark, sf_dir)["mention_lists"].withColumn("mentions", F.array_join("mentions", ","))
+
+
+def streamed_nodes(spark, sf_dir):
+    return streamed(spark, sf_dir)["nodes"].select("node_id", "type", "text", "category")
+
+
+def streamed_edges(spark, sf_dir):
+    return streamed(spark, sf_dir)["edges"]
 
 
 @lru_cache(maxsize=4)
@@ -231,6 +254,9 @@ _COUNTS = """
     FROM articles a LEFT JOIN doc_mentions m ON m.article_id = a.article_id GROUP BY a.article_id"""
 _ENTITIES = o.sql(f"SELECT type, text, uri, {_ROUNDED}, confidence_counts, category FROM kb_entities")
 _ALL_RELATIONS = "SELECT article_id, sent, pos, subject, predicate, object, confidence FROM {}"
+_LISTS = f"""
+    SELECT type, text, ord // {kb.LIST_SPAN} AS part, string_agg(article_url, ',' ORDER BY ord, pos) AS mentions
+    FROM arrivals GROUP BY type, text, ord // {kb.LIST_SPAN}"""
 _ALL_NODES = """
     SELECT node_id, type, text, category FROM kb_nodes UNION ALL SELECT node_id, NULL, NULL, NULL FROM kb_endpoints"""
 
@@ -252,9 +278,7 @@ QUERIES = {
     "agg1_entities": (entities, _ENTITIES),
     "agg2_mean_confidence": (mean_confidence, o.sql(f"SELECT type, text, {_ROUNDED} FROM kb_entities")),
     "agg3_occurrences": (occurrences, o.sql("SELECT type, text, count(*) AS confidence_counts FROM linked GROUP BY type, text")),
-    "agg4_mention_lists": (mention_lists, o.sql(f"""
-        SELECT type, text, ord // {kb.LIST_SPAN} AS part, string_agg(article_url, ',' ORDER BY ord, pos) AS mentions
-        FROM arrivals GROUP BY type, text, ord // {kb.LIST_SPAN}""")),
+    "agg4_mention_lists": (mention_lists, o.sql(_LISTS)),
     "agg5_first_uri": (first_uri, o.sql("SELECT type, text, uri FROM firsts")),
     "agg6_node_ids": (node_ids, o.sql("""
         SELECT node_id, count(*) AS n FROM (
@@ -278,6 +302,9 @@ QUERIES = {
     "agg12_corpus_totals": (corpus_totals, o.sql(
         "SELECT (SELECT count(*) FROM linked) AS entities, (SELECT count(*) FROM relations) AS relationships")),
     "agg13_streamed_entities": (streamed_entities, _ENTITIES),
+    "agg13_streamed_lists": (streamed_lists, o.sql(_LISTS)),
+    "agg13_streamed_nodes": (streamed_nodes, o.sql(_ALL_NODES)),
+    "agg13_streamed_edges": (streamed_edges, o.sql("SELECT subject, object, relation, confidence, article_url FROM kb_edges")),
     "agg16_default_confidence_edges": (default_confidence_edges, o.sql(_LAST_PLAIN.format(url="NULL"))),
     "pip1_entities": (run_entities, _ENTITIES),
     "pip1_edges": (run_edges, o.sql("SELECT subject, object, relation, confidence, article_url FROM kb_edges")),

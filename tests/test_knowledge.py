@@ -25,25 +25,20 @@ def relations(spark):
     return spark.createDataFrame(RELATIONS, "article_id long, ord long, sent int, pos int, subject string, predicate string, object string, confidence double, article_url string")
 
 
-def replayed():
-    """The upserts one after the other, as the definition has it."""
-    table, nodes = {}, {}
-    for _, _, _, text, type_, uri, confidence, url in LINKED:
-        if (type_, text) not in table:
-            table[type_, text] = [uri, confidence, 1, [url]]
-            nodes[uri or f"{type_}_{text}"] = (type_, text, url, confidence)
-        else:
-            entry = table[type_, text]
-            entry[1] = (entry[1] * entry[2] + confidence) / (entry[2] + 1)
-            entry[2] += 1
-            entry[3].append(url)
-    return table, nodes
-
-
-def test_entities_equal_replayed_upserts(linked):
-    table, _ = replayed()
+# what one upsert after the other leaves: uri of the first arrival, mean confidence, number, articles in order
+ENTITIES = {
+    ("ORG", "Acme"): ("Q1", 0.8, 3, ["u1", "u1", "u3"]), ("ORG", "Acme Corp"): ("Q1", 0.9, 1, ["u2"]),
+    ("PERSON", "Acme"): ("", 0.5, 1, ["u3"]), ("PERCENT", "5%"): ("", 0.5, 1, ["u3"]), ("ALIEN", "x"): ("", 0.7, 1, ["u4"]),
+}
+NODES = {
+    "Q1": ("ORG", "Acme Corp", "u2", 0.9), "PERSON_Acme": ("PERSON", "Acme", "u3", 0.5),
+    "PERCENT_5%": ("PERCENT", "5%", "u3", 0.5), "ALIEN_x": ("ALIEN", "x", "u4", 0.7),
+}
+
+
+def test_entities(linked):
     got = {(r["type"], r["text"]): (r["uri"], round(r["confidence"], 9), r["confidence_counts"]) for r in kb.entities(linked).collect()}
-    assert got == {k: (v[0], round(v[1], 9), v[2]) for k, v in table.items()}
+    assert got == {k: v[:3] for k, v in ENTITIES.items()}
 
 
 def test_categories(linked):
@@ -53,17 +48,15 @@ def test_categories(linked):
 
 @pytest.mark.parametrize("span", [1, 2, 1024])
 def test_mention_lists_keep_duplicates_in_order(linked, span):
-    table, _ = replayed()
     lists = {}
     for r in kb.mention_lists(linked, span).orderBy("part").collect():
         lists.setdefault((r["type"], r["text"]), []).extend(r["mentions"])
-    assert lists == {k: v[3] for k, v in table.items()}
+    assert lists == {k: v[3] for k, v in ENTITIES.items()}
 
 
 def test_later_first_arrival_overwrites_a_shared_node(linked):
-    _, nodes = replayed()
     got = {r["node_id"]: (r["type"], r["text"], r["article_url"], r["confidence"]) for r in kb.nodes(linked).collect()}
-    assert got == nodes and got["Q1"][1] == "Acme Corp"
+    assert got == NODES
     shown = kb.node_articles(kb.nodes(linked)).where("node_id = 'Q1'").first()
     assert shown["articles"] == {"u2": 0.9} and shown["mentions"] == 1
 
@@ -95,47 +88,90 @@ def _tables(base):
     return {name: sorted(map(repr, df.collect())) for name, df in base.items()}
 
 
+def _lists(base):
+    lists = {}
+    for r in base["mention_lists"].orderBy("part").collect():
+        lists.setdefault((r["type"], r["text"]), []).extend(r["mentions"])
+    return lists
+
+
+def _whole(linked, relations):
+    return {"entities": kb.entities(linked), "edges": kb.edges(relations), "nodes": kb.all_nodes(kb.nodes(linked), kb.edges(relations))}
+
+
+def _same(base, linked, relations):
+    rounded = lambda t: t | {"entities": t["entities"].withColumn("confidence", F.round("confidence", 12))}
+    got = _tables(rounded({name: base[name] for name in ("entities", "edges", "nodes")}))
+    assert got == _tables(rounded(_whole(linked, relations)))
+
+
 def test_batches_merge_to_the_whole(spark, linked, relations, tmp_path):
+    path = str(tmp_path / "kb")
     for number, (low, high) in enumerate([(3, 9), (1, 1), (2, 2)]):
-        for _ in range(2):  # a retried batch counts once
-            stream.append_batch(linked.where(F.col("ord").between(low, high)), relations.where(F.col("ord").between(low, high)), str(tmp_path / "kb"), number)
-    whole = {"entities": kb.entities(linked), "edges": kb.edges(relations),
-             "nodes": kb.all_nodes(kb.nodes(linked), kb.edges(relations))}
-    expected = _tables(whole)
-    merged = stream.read_knowledge_base(spark, str(tmp_path / "kb"))
-    rounded = merged["entities"].withColumn("confidence", F.round("confidence", 12))
-    whole_rounded = whole["entities"].withColumn("confidence", F.round("confidence", 12))
-    assert sorted(map(repr, rounded.collect())) == sorted(map(repr, whole_rounded.collect()))
-    got = _tables(merged)
-    assert got["edges"] == expected["edges"] and got["nodes"] == expected["nodes"]
-    stream.compact(spark, str(tmp_path / "kb"), str(tmp_path / "folded"))
-    folded = _tables(stream.read_knowledge_base(spark, str(tmp_path / "folded")))
-    assert folded["edges"] == expected["edges"] and folded["nodes"] == expected["nodes"]
-
-
-def test_retry_after_compaction_counts_once(spark, linked, relations, tmp_path):
-    def append(path, number):
-        rows = F.col("ord") == number + 1
-        stream.append_batch(linked.where(rows), relations.where(rows), str(tmp_path / path), number)
-
-    def counts(path):
-        rows = stream.read_knowledge_base(spark, str(tmp_path / path))["entities"]
-        return sorted((r["type"], r["text"], r["confidence_counts"]) for r in rows.collect())
-
-    for number in (0, 1):
-        append("a", number)
-    before = counts("a")
-    stream.compact(spark, str(tmp_path / "a"), str(tmp_path / "b"))
-    for number in (0, 1):
-        append("b", number)
-    assert counts("b") == before
-    append("a", 2)
-    append("b", 2)
-    assert counts("b") == counts("a") != before
-    stream.compact(spark, str(tmp_path / "b"), str(tmp_path / "c"))
-    append("c", 1)
-    append("c", 2)
-    assert counts("c") == counts("a")
+        taken = [stream.append_batch(linked.where(F.col("ord").between(low, high)), relations.where(F.col("ord").between(low, high)), path, number)
+                 for _ in range(2)]
+        assert taken == [True, False]  # a retried batch counts once
+    for _ in range(2):
+        base = stream.read_knowledge_base(spark, path)
+        _same(base, linked, relations)
+        assert _lists(base) == {k: v[3] for k, v in ENTITIES.items()}
+        assert stream.compact(spark, path) == 2
+    assert stream.vacuum(spark, path) == 3
+    _same(stream.read_knowledge_base(spark, path), linked, relations)
+
+
+def test_a_batch_that_dies_between_its_writes_does_not_count(spark, linked, relations, tmp_path, monkeypatch):
+    path = str(tmp_path / "kb")
+    first, second = F.col("ord") <= 2, F.col("ord") > 2
+    stream.append_batch(linked.where(first), relations.where(first), path, 0)
+    before = _tables(stream.read_knowledge_base(spark, path))
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "_mark", dies)
+        with pytest.raises(OSError):
+            stream.append_batch(linked.where(second), relations.where(second), path, 1)
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "edge_delta", dies)  # before the second and third write
+        with pytest.raises(OSError):
+            stream.append_batch(linked.where(second), relations.where(second), path, 1)
+    assert _tables(stream.read_knowledge_base(spark, path)) == before
+    assert stream.compact(spark, path) == 0
+    assert _tables(stream.read_knowledge_base(spark, path)) == before
+    assert stream.append_batch(linked.where(second), relations.where(second), path, 1)
+    _same(stream.read_knowledge_base(spark, path), linked, relations)
+
+
+def test_a_fold_that_dies_or_runs_beside_batches_changes_nothing(spark, linked, relations, tmp_path, monkeypatch):
+    path = str(tmp_path / "kb")
+    batch = lambda n: (linked.where(F.col("ord") == n + 1), relations.where(F.col("ord") == n + 1), path, n)
+    for number in (0, 1, 3):
+        stream.append_batch(*batch(number))
+
+    def dies(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(stream, "_mark", dies)
+        with pytest.raises(OSError):
+            stream.compact(spark, path)
+    assert stream.compact(spark, path) == 1  # number 2 is still to come
+    for number in (0, 1, 3):
+        assert not stream.append_batch(*batch(number))
+    assert stream.append_batch(*batch(2))
+    _same(stream.read_knowledge_base(spark, path), linked, relations)
+    assert stream.compact(spark, path) == 3
+    base = stream.read_knowledge_base(spark, path)
+    _same(base, linked, relations)
+    assert _lists(base) == {k: v[3] for k, v in ENTITIES.items()}
+
+
+def test_nothing_committed(spark, tmp_path):
+    path = str(tmp_path / "kb")
+    assert all(df.count() == 0 for df in stream.read_knowledge_base(spark, path).values())
+    assert stream.compact(spark, path) is None and stream.vacuum(spark, path) == 0
 
 
 def test_stream_of_several_files_equals_one_run(spark, linked, relations, tmp_path):
@@ -148,6 +184,5 @@ def test_stream_of_several_files_equals_one_run(spark, linked, relations, tmp_pa
         return batch, relations.join(batch.select("ord").distinct(), "ord", "left_semi")
 
     stream.maintain(frame, analyse, str(tmp_path / "kb"), str(tmp_path / "check")).awaitTermination()
-    merged = stream.read_knowledge_base(spark, str(tmp_path / "kb"))
-    assert merged["entities"].agg(F.sum("confidence_counts")).first()[0] == len(LINKED)
-    assert _tables({"e": merged["edges"]}) == _tables({"e": kb.edges(relations)})
+    assert stream.commits(spark, str(tmp_path / "kb")).count() == 4
+    _same(stream.read_knowledge_base(spark, str(tmp_path / "kb")), linked, relations)

@@ -119,7 +119,7 @@ def test_search_equals_brute_force_on_random_words(spark, rows):
     for threshold in (0.4, 0.7):
         sim = {(t, x): len(grams(t) & grams(x)) / len(grams(t) | grams(x)) for t in texts for x in labels}
         got = rows(ln.fuzzy_candidates(mentions, catalogue, threshold, 20), "text", "label")
-        assert got == sorted(p for p, s in sim.items() if s >= threshold - 1e-12)
+        assert got == sorted((p for p, s in sim.items() if s >= threshold - 1e-12), key=repr)
         near = {r["key"]: r["label_key"] for r in ln.nearest_labels(mentions, catalogue, threshold).collect()}
         best = {}
         for t in texts:
