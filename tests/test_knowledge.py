@@ -5,8 +5,8 @@ from newsgraph.operators import knowledge as kb
 from newsgraph.streaming import kb as stream
 
 LINKED = [  # article_id, ord, pos, text, type, uri, confidence, article_url
-    (1, 1, 0, "Acme", "ORG", "Q1", 0.6, "u1"), (1, 1, 5, "Acme", "ORG", "Q9", 0.8, "u1"),
-    (2, 2, 0, "Acme Corp", "ORG", "Q1", 0.9, "u2"), (3, 3, 0, "Acme", "ORG", "Q8", 1.0, "u3"),
+    (1, 1, 0, "Acme", "ORG", "Q1", 0.6, "u1"), (1, 1, 5, "Acme", "ORG", "Q0", 0.8, "u1"),
+    (2, 2, 0, "Acme Corp", "ORG", "Q1", 0.9, "u2"), (3, 3, 0, "Acme", "ORG", "A8", 1.0, "u3"),
     (3, 3, 1, "Acme", "PERSON", "", 0.5, "u3"), (3, 3, 2, "5%", "PERCENT", "", 0.5, "u3"), (4, 4, 0, "x", "ALIEN", "", 0.7, "u4"),
 ]
 RELATIONS = [  # article_id, ord, sent, pos, subject, predicate, object, confidence, article_url
