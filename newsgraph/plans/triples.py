@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from newsgraph import lexicon as lx
-from newsgraph.operators import classify
+from newsgraph.operators import classify, naive_bayes
 from newsgraph.operators import splits as sp
 from newsgraph.scratch import materialise
 from newsgraph.sources.readers import alias_headers, normalise_headers, require_columns
@@ -36,3 +36,16 @@ def train_relation_classifier(train: DataFrame, valid: DataFrame, both_entities:
     """Model fitted on `train` and its scores on `valid`; a label of `valid` that train lacks is an error."""
     model = classify.train(train, both_entities)
     return model, classify.evaluate(model, valid, both_entities)
+
+
+def train_and_score(splits: DataFrame, path: str, train: str = "train_small", score: str = "valid") -> dict[str, DataFrame]:
+    """Train a table model on one split, save it, load it and score another one: predictions, confusion and scores.
+
+    `splits` is what `with_small_train` gives. A label of the scored split that the training split lacks is an error.
+    """
+    naive_bayes.write_model(naive_bayes.train(splits.where(F.col("split") == train)), path)
+    model = naive_bayes.read_model(splits.sparkSession, path)
+    rows = naive_bayes.check_labels(model, splits.where(F.col("split") == score))
+    predictions = materialise(naive_bayes.predict(model, rows), "predictions")
+    confusion = classify.confusion(predictions)
+    return {"predictions": predictions, "confusion": confusion, "scores": naive_bayes.scores(confusion)}

@@ -8,6 +8,7 @@ from newsgraph.functions import vectors as vx
 from newsgraph.functions.text import terms
 from newsgraph.operators import classify as cl
 from newsgraph.operators import features as ft
+from newsgraph.operators import naive_bayes as nb
 from newsgraph.operators import relations as rl
 from newsgraph.operators import splits as sp
 from newsgraph.operators import svd as sv
@@ -17,6 +18,7 @@ from newsgraph.plans.articles import article_features
 from newsgraph.registry import found as fd
 from newsgraph.registry import oracle as o
 from newsgraph.registry.inputs import articles, labelled_events, longs, table, vectors
+from newsgraph.scratch import fresh_path, materialise
 
 
 def vectoriser_terms(spark, sf_dir):
@@ -145,17 +147,57 @@ def prepared_triples(spark, sf_dir):
     return splits.groupBy("split", "predicate").agg(F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"))
 
 
-def _model(spark, sf_dir):
-    """A classifier of the quality label, with the document as entity1."""
+def _quality_splits(spark, sf_dir):
+    """The quality label as predicate, with the document as entity1."""
     rows = articles(spark, sf_dir).join(table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "article_id"), "article_id")
     rows = rows.select(
         F.col("article_id").alias("id"), F.col("text").alias("entity1"),
         F.when(F.col("quality") == 1, "good").otherwise("bad").alias("predicate"), F.lit("").alias("entity2"),
     )
-    splits = sp.stratified_split(rows)
+    return sp.stratified_split(rows)
+
+
+def _model(spark, sf_dir):
+    """A classifier of the quality label."""
+    splits = _quality_splits(spark, sf_dir)
     return splits, cl.train(splits.where("split = 'train'"))
 
 
+def _table_predictions(spark, sf_dir):
+    """The rows outside of train with the class that a table model gives them."""
+    splits = materialise(_quality_splits(spark, sf_dir), "quality-splits")
+    return nb.predict(nb.train(splits.where("split = 'train'")), splits.where("split <> 'train'"))
+
+
+def table_predictions(spark, sf_dir):
+    return _table_predictions(spark, sf_dir).select("id", "split", "predicted")
+
+
+def table_confusion(spark, sf_dir):
+    return cl.confusion(_table_predictions(spark, sf_dir))
+
+
+def table_scores(spark, sf_dir):
+    return nb.scores(cl.confusion(_table_predictions(spark, sf_dir))).withColumn("value", F.round("value", 9))
+
+
+def table_model(spark, sf_dir):
+    """The model's tables after saving and loading."""
+    path = fresh_path(spark, "table-model")
+    nb.write_model(nb.train(_quality_splits(spark, sf_dir).where("split = 'train'")), path)
+    model = nb.read_model(spark, path)
+    none = F.lit(None).cast("long")
+    return model.terms.select("predicate", "term", "gain", none.alias("prior"), none.alias("share")).union(
+        model.classes.select("predicate", F.lit(None).cast("string"), none, "prior", "share"))
+
+
+def trained_and_scored(spark, sf_dir):
+    """Prepare, train on the small sample, save, load, score valid."""
+    rows = labelled_events(spark, sf_dir).toDF("id", " Head", "Relation", "TAIL ")
+    splits = materialise(plan.with_small_train(plan.prepare_triples(rows, "id")), "splits")
+    return plan.train_and_score(splits, fresh_path(spark, "relation-model"))["predictions"].select("id", "predicate", "predicted")
+
+
 def classifier_scores(spark, sf_dir):
     splits, model = _model(spark, sf_dir)
     scores = cl.evaluate(model, splits.where("split = 'valid'"))
@@ -172,6 +214,43 @@ def classifier_predictions(spark, sf_dir):
     return cl.predict(model, splits.drop("predicate")).select("id", "predicted")
 
 
+o.CTES["quality_split"] = """
+    SELECT id, entity1, predicate, CASE WHEN r <= m - h THEN 'train' WHEN r <= m - (h + 1) // 2 THEN 'valid' ELSE 'test' END AS split
+    FROM (SELECT *, (2 * m + 5) // 10 AS h FROM (
+        SELECT *, row_number() OVER (PARTITION BY predicate ORDER BY md5(concat_ws('|', '42', id::VARCHAR)), id) AS r,
+               count(*) OVER (PARTITION BY predicate) AS m
+        FROM (SELECT a.article_id AS id, a.text AS entity1, CASE WHEN l.quality = 1 THEN 'good' ELSE 'bad' END AS predicate
+              FROM articles a JOIN labels l ON l.doc_id = a.article_id)))"""
+
+
+def _bayes(name, rows, train, score):
+    """Every class for every row, as the definition has it."""
+    words = f"SELECT id, predicate, unnest(({o.tokens_of('lower(entity1)')})[1:{o.lx.MAX_CLASSIFIER_TOKENS}]) AS term FROM ({rows})"
+    o.CTES[f"{name}_counts"] = f"SELECT predicate, term, count(*) AS n FROM ({words} WHERE {train}) GROUP BY predicate, term"
+    o.CTES[f"{name}_classes"] = f"""
+        SELECT c.predicate, round(ln(c.n / sum(c.n) OVER ()) * 1000000)::BIGINT AS prior,
+               round(ln((coalesce(t.tokens, 0) + (SELECT count(DISTINCT term) FROM {name}_counts))::DOUBLE) * 1000000)::BIGINT AS share
+        FROM (SELECT predicate, count(*) AS n FROM ({rows}) WHERE ({train}) AND entity1 IS NOT NULL GROUP BY predicate) c
+        LEFT JOIN (SELECT predicate, sum(n) AS tokens FROM {name}_counts GROUP BY predicate) t ON t.predicate = c.predicate"""
+    o.CTES[f"{name}_predictions"] = f"""
+        SELECT id, predicate, predicted FROM (
+            SELECT r.id, r.predicate, c.predicate AS predicted, row_number() OVER (PARTITION BY r.id ORDER BY
+                   c.prior - coalesce(w.known, 0) * c.share + coalesce(g.gain, 0) DESC, c.predicate) AS rn
+            FROM (SELECT * FROM ({rows}) WHERE {score}) r CROSS JOIN {name}_classes c
+            LEFT JOIN (SELECT id, count(*) AS known FROM ({words} WHERE {score}) WHERE term IN (SELECT term FROM {name}_counts) GROUP BY id) w
+                   ON w.id = r.id
+            LEFT JOIN (SELECT s.id, k.predicate, sum(round(ln(k.n + 1.0::DOUBLE) * 1000000)::BIGINT) AS gain
+                       FROM ({words} WHERE {score}) s JOIN {name}_counts k ON k.term = s.term GROUP BY s.id, k.predicate) g
+                   ON g.id = r.id AND g.predicate = c.predicate)
+        WHERE rn = 1"""
+
+
+_bayes("quality", "SELECT * FROM quality_split", "split = 'train'", "split <> 'train'")
+_bayes("relation", """
+    SELECT id, entity1, predicate, split FROM split_triples
+    UNION ALL SELECT id, entity1, predicate, 'train_small' FROM small_train""", "split = 'train_small'", "split = 'valid'")
+o.refresh()
+
 _ENTITY_FEATURES = """
     SELECT a.article_id, coalesce(n, 0) AS num_entities, coalesce(per, 0) AS num_persons, coalesce(org, 0) AS num_orgs,
            coalesce(mon, 0) AS num_money, coalesce(dat, 0) AS num_dates, coalesce(loc, 0) AS num_locations,
@@ -250,6 +329,21 @@ QUERIES = {
         SELECT split, predicate, count(*) AS n, sum(id)::BIGINT AS ids FROM (
             SELECT split, predicate, id FROM split_triples UNION ALL SELECT 'train_small', predicate, id FROM small_train)
         GROUP BY split, predicate""")),
+    "cls1_table_predictions": (table_predictions, o.sql("""
+        SELECT p.id, s.split, p.predicted FROM quality_predictions p JOIN quality_split s ON s.id = p.id""")),
+    "cls2_table_scores": (table_scores, o.sql("""
+        WITH told AS (SELECT predicate AS name, count(*) AS told, count(*) FILTER (predicate = predicted) AS hits
+                      FROM quality_predictions GROUP BY predicate),
+             said AS (SELECT predicted AS name, count(*) AS said FROM quality_predictions GROUP BY predicted)
+        SELECT 'accuracy' AS metric, round(sum(hits) / sum(told), 9) AS value FROM told
+        UNION ALL SELECT 'f1', round(sum(2.0::DOUBLE * hits / (told + coalesce(said, 0)) * told) / sum(told), 9)
+        FROM told LEFT JOIN said USING (name)""").replace("\n\n        WITH told", ",\n        told").replace("\n        WITH told", ",\n        told")),
+    "cls3_table_confusion": (table_confusion, o.sql(
+        "SELECT predicate, predicted, count(*) AS n FROM quality_predictions GROUP BY predicate, predicted")),
+    "snk8_table_model": (table_model, o.sql("""
+        SELECT predicate, term, round(ln(n + 1.0::DOUBLE) * 1000000)::BIGINT AS gain, NULL::BIGINT AS prior, NULL::BIGINT AS share
+        FROM quality_counts UNION ALL SELECT predicate, NULL, NULL, prior, share FROM quality_classes""")),
+    "pip3_trained_and_scored": (trained_and_scored, o.sql("SELECT id, predicate, predicted FROM relation_predictions")),
     "cls1_predictions": (classifier_predictions, None),
     "cls2_scores": (classifier_scores, None),
     "cls3_confusion": (classifier_confusion, None),
