@@ -94,10 +94,14 @@ def mix(
         lambda total, k: total + k,
     )
     drawn, order = fresh_name(joined, "_drawn"), fresh_name(joined, "_order")
+    strings = [F.col(f"`{name}`") for name, kind in df.dtypes if kind == "string"]  # what tells rows without a key apart
     copies = (
         joined.withColumn(drawn, number)
         .where(F.col(drawn) > 0)
         .select(*[F.col(f"`{n}`") for n in names], F.explode(F.sequence(F.lit(1), F.col(drawn))).alias(copy))
-        .withColumn(order, F.xxhash64(F.lit(seed), F.col(key), F.col(copy)))
+        .withColumn(
+            order,
+            F.when(F.col(key).isNull(), F.xxhash64(F.lit(seed), *strings, F.col(copy))).otherwise(F.xxhash64(F.lit(seed), F.col(key), F.col(copy))),
+        )
     )
     return copies.repartition(F.col(order)).sortWithinPartitions(order).drop(order)

@@ -64,9 +64,9 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     while at < len(data):
         part = whole[at : at + SEGMENT]
         blank = _BLANK[part]
-        if at + len(part) < len(data):
+        if len(part) == SEGMENT:
             places = np.flatnonzero(blank)
-            if not len(places):  # a word longer than a segment
+            if not len(places):  # a word of a segment or more, at the end of the data or not
                 end = at + SEGMENT
                 while end < len(data) and not _BLANK[whole[end]]:
                     ahead = np.flatnonzero(_BLANK[whole[end : end + SEGMENT]])

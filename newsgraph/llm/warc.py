@@ -73,7 +73,7 @@ def write_archives(resolved: DataFrame, path: str, run: str, compression: str =
     lines = [
         header("WARC-Type", F.when(revisit, F.lit("revisit")).otherwise(F.lit("response"))),
         header("WARC-Record-ID", _record_id(run, F.col("page_id"), F.col("payload_digest"))),
-        header("WARC-Date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        header("WARC-Date", F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         header("WARC-Target-URI", clean_url),
         header("WARC-Page-ID", F.col("page_id")),
         header("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),

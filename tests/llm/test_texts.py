@@ -137,6 +137,15 @@ def test_messy_windows(messy, empty, rows):
     assert texts == {r[0]: r[1] for r in messy_rows() if r[0] in texts}
 
 
+@pytest.mark.parametrize("size", [substring.SEGMENT - 1, substring.SEGMENT, substring.SEGMENT + 1, 2 * substring.SEGMENT])
+def test_words_of_about_a_segment_hash_alike_anywhere(size):
+    word = b"w" * size
+    alone = substring.word_hashes(word)[0][0]
+    assert substring.word_hashes(word + b" y")[0][0] == alone
+    assert substring.word_hashes(b"x " + word)[0][1] == alone
+    assert substring.word_hashes(b"x " + word + b" y " + word)[0][[1, 3]].tolist() == [alone, alone]
+
+
 def test_word_hashes_do_not_depend_on_place(monkeypatch):
     monkeypatch.setattr(substring, "SEGMENT", 64)
     monkeypatch.setattr(substring, "_tables", [])
@@ -231,3 +240,27 @@ def test_weights(spark):
     assert len(many) == sum(draws(17, i, 500 / sizes[s]) for i, s in rows[:5])
     with pytest.raises(ValueError):
         mixing.mix(docs, {"hot": -1.0})
+
+
+def test_rows_without_a_key_are_spread(spark):
+    docs = spark.createDataFrame([(None, f"text {i}", "one") for i in range(400)], "doc_id long, text string, source string")
+    mixed = mixing.mix(docs, seed=3)
+    parts = [p for p in mixed.rdd.glom().map(len).collect() if p]
+    assert sum(parts) == mixed.count() and (len(parts) > 1 or mixed.rdd.getNumPartitions() == 1)
+    order = [r.text for r in mixing.mix(docs, {"one": 1.0}, rows=400 * 3).collect()]
+    assert order != sorted(order)
+
+
+def test_dates_are_in_universal_time(spark, tmp_path):
+    from datetime import UTC, datetime
+
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    pages = spark.createDataFrame([(1, "http://a", "x")], "page_id long, url string, html string")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        warc.write_archives(warc.resolve(pages), str(tmp_path / "w"), "run0", compression="none")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    text = "".join(r[0] for r in spark.read.text(str(tmp_path / "w"), wholetext=True).collect())
+    written = datetime.strptime(re.search(r"WARC-Date: (\S+)Z", text)[1], "%Y-%m-%dT%H:%M:%S").replace(tzinfo=UTC)
+    assert abs((datetime.now(UTC) - written).total_seconds()) < 600
