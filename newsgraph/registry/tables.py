@@ -46,6 +46,23 @@ def svd_components(spark, sf_dir):
     return ft.spread_components(scores)
 
 
+SVD_GROUPS = 80
+
+
+def svd_products(spark, sf_dir):
+    """Documents in 80 groups, decomposed in full: the scores' products must be those of the groups' own rows."""
+    counts = ti.term_counts(articles(spark, sf_dir)).withColumn("article_id", F.col("article_id") % SVD_GROUPS)
+    rows = counts.groupBy("article_id", "term").agg(F.log(1 + F.sum("tf").cast("double")).alias("raw"))
+    norms = rows.groupBy("article_id").agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("norm"))
+    df = rows.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    weights = rows.join(df, "term").join(F.broadcast(norms), "article_id").select("article_id", "term", "df", (F.col("raw") / F.col("norm")).alias("w"))
+    scores, _ = sv.truncated_svd(weights, SVD_GROUPS)
+    scores = materialise(scores, "scores")  # 80 rows
+    left, right = scores.select(F.col("article_id").alias("a"), F.col("components").alias("x")), scores.select(F.col("article_id").alias("b"), F.col("components").alias("y"))
+    product = F.aggregate(F.zip_with("x", "y", lambda x, y: x * y), F.lit(0.0), lambda s, v: s + v)
+    return left.join(F.broadcast(right), F.col("a") <= F.col("b")).select("a", "b", (F.round(product, 4) + 0.0).alias("product"))
+
+
 def entity_features(spark, sf_dir):
     rows = ft.entity_features(articles(spark, sf_dir), fd.found(spark, sf_dir))
     return _six(rows, "entity_density", "person_ratio", "org_ratio")
@@ -251,6 +268,11 @@ _bayes("relation", """
     UNION ALL SELECT id, entity1, predicate, 'train_small' FROM small_train""", "split = 'train_small'", "split = 'valid'")
 o.refresh()
 
+o.CTES["grouped_weights"] = f"""
+    SELECT g, term, raw / sqrt(sum(raw * raw) OVER (PARTITION BY g)) AS w FROM (
+        SELECT article_id % {SVD_GROUPS} AS g, term, ln(1 + sum(tf)::DOUBLE) AS raw FROM term_counts GROUP BY article_id % {SVD_GROUPS}, term)"""
+o.refresh()
+
 _ENTITY_FEATURES = """
     SELECT a.article_id, coalesce(n, 0) AS num_entities, coalesce(per, 0) AS num_persons, coalesce(org, 0) AS num_orgs,
            coalesce(mon, 0) AS num_money, coalesce(dat, 0) AS num_dates, coalesce(loc, 0) AS num_locations,
@@ -295,6 +317,9 @@ QUERIES = {
     "tfi3_smoothed_idf": (smoothed_idf, o.sql("SELECT term, df, round(idf, 6) AS idf FROM idf")),
     "tfi4_weights": (weights, o.sql("SELECT article_id, term, round(w, 6) AS w FROM weights")),
     "tfi5_svd_components": (svd_components, None),
+    "tfi5_svd_products": (svd_products, o.sql(f"""
+        SELECT x.g AS a, y.g AS b, round(sum(x.w * y.w), 4) AS product
+        FROM grouped_weights x JOIN grouped_weights y ON x.term = y.term AND x.g <= y.g GROUP BY x.g, y.g""")),
     "enf_entity_features": (entity_features, o.sql(_ENTITY_FEATURES)),
     "stf_statistical_features": (statistical_features, o.sql(_STATISTICS)),
     "stf_statistical_features_of_tokens": (statistical_features_of_tokens, o.sql(_STATISTICS)),

@@ -40,3 +40,13 @@ def materialise(df: DataFrame, name: str, partition_by: list[str] | None = None)
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path) if not partition_by else df.sparkSession.read.parquet(path)
+
+
+def deal(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Write `df` once, dealt to buckets by the hash of `key` and sorted by it: later groupings and joins by `key` with tables
+    dealt alike need no exchange. The files are in the shared folder; only the name is in the session's catalogue."""
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, name)
+    table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    dealt = df.repartition(buckets, key)
+    dealt.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+    return spark.table(table)
