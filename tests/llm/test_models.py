@@ -109,15 +109,27 @@ def test_model_equals_definition(spark):
             assert np.isclose(scorer.entropies([text, "zz"])[0][0, number], -np.mean(expected), atol=1e-4)
 
 
-def test_pruned_model_sums_to_one_at_most(spark):
-    rows = [(t, lang) for _, t, lang in corpus(60, 1)]
-    model = langid.train(spark.createDataFrame(rows, "text string, lang string"), "text", "lang", most=60)
-    scorer = langid.Scorer(model)
-    assert all(len(keys) <= 60 for keys, _ in model.grams.values())
-    head = charcodes.folded("kal", 0)[:3].astype(np.uint64)
-    context = (head[0] << np.uint64(32)) | (head[1] << np.uint64(16)) | head[2]
-    keys = (context << np.uint64(16)) | np.arange(0x10000, dtype=np.uint64)
-    assert np.allclose(np.exp(scorer.logs(keys).astype(float)).sum(axis=0), 1, atol=0.02)
+@pytest.mark.parametrize("numbers", [3000, 30, 0])
+def test_a_model_too_large_to_broadcast_gives_the_same(spark, numbers):
+    rows = corpus(150, 4) + [(1000, None, "aa"), (1001, "", None), (1002, "123 !?", "bb"), (None, "kalo minu", "aa"), (1003, "X" * 30, None), (0, "日本 qx", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    whole, far = (
+        sorted((r.doc_id or -1, r.lang_pred, round(r.score, 4), r.entropy or 0.0, r.rejected) for r in langid.languages(docs, most, numbers).collect())
+        for most in (1_000_000, 5)
+    )
+    assert [r[:3] for r in whole] == [r[:3] for r in far]
+    assert np.allclose([r[3] for r in whole], [r[3] for r in far], atol=1e-4)
+
+
+def test_a_small_language_beside_a_huge_one(spark):
+    rnd = random.Random(3)
+    parts = "ka lo mi nu re sta vo".split()
+    text = lambda order, n: " ".join("".join(order(rnd.choice(parts), rnd.choice(parts))) for _ in range(n))
+    near, far = (lambda a, b: a + b), (lambda a, b: a + "x" + b)
+    rows = [(i, text(near, 60), "huge") for i in range(400)] + [(i, text(far, 60), "small") for i in range(400, 410)]
+    rows += [(i, text(far, 12), None) for i in range(1000, 1020)]
+    found = {r.doc_id: r.lang_pred for r in langid.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string"), 5, 30).collect()}
+    assert all(found[i] == "small" for i in range(1000, 1020)) and found[0] == "huge"
 
 
 def test_languages(spark, empty):
