@@ -16,6 +16,10 @@ from newsgraph import lexicon as lx
 from newsgraph.functions import text as tx
 from newsgraph.operators.scale import broadcast_if_small
 
+# Hits of an island up to which each one is compared with all that are taken; in larger ones places are marked instead.
+SMALL_ISLAND = 24
+# Places, and taken hits, of one piece of the arrays that a large island builds up.
+_PIECE = 256
 # Lengths to look for where no dictionary says.
 WORD_LENGTHS = (1, 2, 3)
 
@@ -130,6 +134,53 @@ def all_hits(articles: DataFrame, gazetteer: DataFrame, text: str = "text", capi
     return joined.select("article_id", "pos", "words", "text", F.coalesce("label", "_entry").alias("label")).where("label is not null")
 
 
+def _taken(hits: Column) -> Column:
+    """Hits in order, but for those that overlap one taken before: each is compared with all that are."""
+    def take(taken: Column, h: Column) -> Column:
+        clash = F.exists(taken, lambda t: (t["pos"] < h["pos"] + h["words"]) & (h["pos"] < t["pos"] + t["words"]))
+        return F.when(clash, taken).otherwise(F.array_append(taken, h))
+
+    return F.aggregate(hits, F.slice(hits, 1, 0), take)
+
+
+def _taken_by_place(hits: Column) -> Column:
+    """The same, in time that grows with the number of hits, not with its square.
+
+    Hits come from the longest to the shortest, so one that overlaps a taken hit has its first or its last place in it:
+    two looks at the places that are marked. Marks and taken hits are kept in pieces, so that a step copies a piece of
+    either and not the whole.
+    """
+    base = F.array_min(F.transform(hits, lambda h: h["pos"]))
+    last = F.array_max(F.transform(hits, lambda h: h["pos"] + h["words"])) - 1
+    rows = F.sequence(F.lit(0), F.floor((last - base) / _PIECE).cast("int"))
+    none = F.slice(hits, 1, 0)
+    start = F.struct(
+        F.transform(rows, lambda _: F.array_repeat(F.lit(False), _PIECE)).alias("marks"), F.slice(F.array(none), 1, 0).alias("full"), none.alias("part"),
+        base.cast("int").alias("base"),
+    )
+
+    def marked(s: Column, place: Column) -> Column:
+        return F.get(F.get(s["marks"], F.floor(place / _PIECE).cast("int")), place % _PIECE)
+
+    def take(s: Column, h: Column) -> Column:
+        first = h["pos"] - s["base"]
+        end = first + h["words"] - 1
+
+        def with_marks(piece: Column, row: Column) -> Column:
+            at = row * _PIECE
+            touched = (at <= end) & (first < at + _PIECE)
+            return F.when(touched, F.transform(piece, lambda m, i: m | (at + i).between(first, end))).otherwise(piece)
+
+        full = F.size(s["part"]) >= _PIECE
+        more = F.struct(
+            F.transform(s["marks"], with_marks).alias("marks"), F.when(full, F.array_append(s["full"], s["part"])).otherwise(s["full"]).alias("full"),
+            F.when(full, F.array(h)).otherwise(F.array_append(s["part"], h)).alias("part"), s["base"].alias("base"),
+        )
+        return F.when(marked(s, first) | marked(s, end), s).otherwise(more)
+
+    return F.aggregate(hits, start, take, lambda s: F.flatten(F.array_append(s["full"], s["part"])))
+
+
 def without_overlaps(hits: DataFrame) -> DataFrame:
     """Take hits from the longest to the shortest, equally long ones from left to right, unless they overlap one taken.
 
@@ -146,13 +197,9 @@ def without_overlaps(hits: DataFrame) -> DataFrame:
     hit = F.struct((-F.col("words")).alias("shorter"), "pos", priority.alias("priority"), "label", "words", "text")
     listed = islands.groupBy("article_id", "_island").agg(F.sort_array(F.collect_list(hit)).alias("_hits"))
 
-    def take(taken: Column, h: Column) -> Column:
-        clash = F.exists(taken, lambda t: (t["pos"] < h["pos"] + h["words"]) & (h["pos"] < t["pos"] + t["words"]))
-        return F.when(clash, taken).otherwise(F.array_append(taken, h))
-
     # a list of one needs no folding, and most lists are of one
-    none = F.slice("_hits", 1, 0)
-    kept = F.when(F.size("_hits") == 1, F.col("_hits")).otherwise(F.aggregate("_hits", none, take))
+    size = F.size("_hits")
+    kept = F.when(size == 1, F.col("_hits")).when(size <= SMALL_ISLAND, _taken(F.col("_hits"))).otherwise(_taken_by_place(F.col("_hits")))
     return listed.select("article_id", F.explode(kept).alias("h")).select("article_id", "h.pos", "h.words", "h.text", "h.label")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from newsgraph import lexicon as lx
 from newsgraph.functions import text as tx
 from newsgraph.operators import classify as cl
 from newsgraph.operators import knowledge as kb
@@ -119,6 +120,14 @@ def write_features(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def write_whole_features(spark, sf_dir):
+    """All 126 columns written and read back."""
+    path = fresh_path(spark, "features")
+    sk.write_features(tb.whole_table(spark, sf_dir), path)
+    back = spark.read.parquet(path)
+    return tb.with_component_count(back).withColumn("n_columns", F.lit(len(back.columns) - 1).cast("long"))
+
+
 def write_relations(spark, sf_dir):
     path = fresh_path(spark, "relations")
     sk.write_relations(gr.kept_relations(spark, sf_dir), path)
@@ -185,6 +194,8 @@ QUERIES = {
         SELECT a.article_id, a.url AS article_url, c.* EXCLUDE (article_id)
         FROM articles a JOIN ({gr._COUNTS}) c ON c.article_id = a.article_id""")),
     "snk3_features": (write_features, o.sql(tb._STATISTICS)),
+    "snk3_whole_features": (write_whole_features, o.sql(
+        f"SELECT *, {lx.SVD_COMPONENTS} AS n_components, 126 AS n_columns FROM ({tb.FEATURE_TABLE})")),
     "snk4_relations": (write_relations, o.sql(gr._ALL_RELATIONS.format("relations"))),
     "snk5_entities": (write_entities, o.sql("""
         SELECT type, count(*) AS n, sum(confidence_counts)::BIGINT AS mentions FROM kb_entities

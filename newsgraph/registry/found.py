@@ -141,6 +141,13 @@ def malformed(spark, sf_dir):
     return rows.where("uri = ''").select("text", "n", "uri", "confidence")
 
 
+def malformed_scores(spark, sf_dir):
+    """Candidates of items in 5 have a score that is no number."""
+    text = F.when(F.col("item").endswith("5"), "many").otherwise(F.col("score").cast("string"))
+    rows = ln.link_texts(found(spark, sf_dir), catalogue(spark, sf_dir).withColumn("score", text))
+    return rows.where("uri = ''").select("text", "n", "uri", "confidence")
+
+
 def unlinked(spark, sf_dir):
     return ln.unlinked_texts(found(spark, sf_dir), catalogue(spark, sf_dir))
 
@@ -240,6 +247,11 @@ QUERIES = {
     "lnk11_fuzzy_linked": (fuzzy_linked_rows, o.sql("SELECT * FROM fuzzy_linked")),
     "lnk9_malformed_candidates": (malformed, o.sql("""
         SELECT text, n, '' AS uri, 0.1::DOUBLE AS confidence FROM pairs WHERE rank = 1 AND item IS NULL""")),
+    "lnk9_bad_scores": (malformed_scores, o.sql(f"""
+        SELECT m.text, m.n, '' AS uri, 0.1::DOUBLE AS confidence FROM mention_texts m
+        JOIN ({_BEST.format(source="(SELECT key, label, item, CASE WHEN item LIKE '%5' THEN NULL ELSE score END AS score FROM candidates)")}) b
+          ON b.key = lower(trim(m.text))
+        WHERE b.item IS NULL OR b.item LIKE '%5'""")),
     "lnk10_unlinked_texts": (unlinked, o.sql("""
         SELECT text, n FROM mention_texts WHERE lower(trim(text)) NOT IN (SELECT key FROM candidates)""")),
     "lnk11_linked_entities": (linked_rows, o.sql(

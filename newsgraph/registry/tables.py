@@ -102,6 +102,25 @@ def feature_table(spark, sf_dir):
     return _six(rows, "entity_density", "person_ratio", "org_ratio", *_RATIOS, "embedding_mean", "embedding_std", "embedding_norm")
 
 
+def whole_table(spark, sf_dir):
+    """All 126 columns of the feature table, TF-IDF components included."""
+    docs = articles(spark, sf_dir)
+    return article_features(docs, fd.found(spark, sf_dir), vectors(spark, sf_dir), "text", sv.lx.SVD_COMPONENTS, True)
+
+
+def with_component_count(rows):
+    """The columns that SQL can compute, and how many components a row has."""
+    components = [c for c in rows.columns if c.startswith("tfidf_comp_")]
+    given = sum((F.when(F.col(c).isNotNull() & ~F.isnan(c), 1).otherwise(0) for c in components), F.lit(0))
+    rows = rows.withColumn("n_components", given).drop(*components)
+    return _six(rows, "entity_density", "person_ratio", "org_ratio", *_RATIOS, "embedding_mean", "embedding_std", "embedding_norm")
+
+
+def whole_feature_table(spark, sf_dir):
+    """The components themselves are checked by tfi5_svd_products."""
+    return with_component_count(whole_table(spark, sf_dir))
+
+
 def kept_triples(spark, sf_dir):
     return sp.drop_rare_classes(sp.drop_missing(labelled_events(spark, sf_dir)))
 
@@ -311,6 +330,12 @@ _TRIPLES = """
     SELECT article_id, sent, subject AS entity1, object AS predicate, predicate AS entity2 FROM all_relations"""
 _KEPT = f"SELECT * FROM ({_TRIPLES}) WHERE predicate IN (SELECT object FROM all_relations GROUP BY object HAVING count(*) > 1)"
 
+FEATURE_TABLE = f"""
+    SELECT e.*, s.* EXCLUDE (article_id), coalesce(v.embedding_mean, 0) AS embedding_mean,
+           coalesce(v.embedding_std, 0) AS embedding_std, coalesce(v.embedding_norm, 0) AS embedding_norm
+    FROM ({_ENTITY_FEATURES}) e JOIN ({_STATISTICS}) s ON s.article_id = e.article_id
+    LEFT JOIN ({_EMBEDDINGS}) v ON v.article_id = e.article_id"""
+
 QUERIES = {
     "tfi1_terms": (vectoriser_terms, o.sql("SELECT term, sum(tf)::BIGINT AS n FROM term_counts GROUP BY term")),
     "tfi2_term_counts": (term_counts, o.sql("SELECT article_id, term, tf FROM term_counts")),
@@ -329,11 +354,8 @@ QUERIES = {
               FROM (SELECT vec_id, unnest(embedding)::DOUBLE AS x, unnest(range(len(embedding))) AS i FROM embeddings))
         GROUP BY vec_id"""),
     "emf_embedding_features": (embedding_features, _EMBEDDINGS),
-    "cmb1_feature_table": (feature_table, o.sql(f"""
-        SELECT e.*, s.* EXCLUDE (article_id), coalesce(v.embedding_mean, 0) AS embedding_mean,
-               coalesce(v.embedding_std, 0) AS embedding_std, coalesce(v.embedding_norm, 0) AS embedding_norm
-        FROM ({_ENTITY_FEATURES}) e JOIN ({_STATISTICS}) s ON s.article_id = e.article_id
-        LEFT JOIN ({_EMBEDDINGS}) v ON v.article_id = e.article_id""")),
+    "cmb1_feature_table": (feature_table, o.sql(FEATURE_TABLE)),
+    "cmb1_whole_table": (whole_feature_table, o.sql(f"SELECT *, {sv.lx.SVD_COMPONENTS} AS n_components FROM ({FEATURE_TABLE})")),
     "flt1_missing_dropped": (missing_dropped, o.sql("SELECT id, entity1, predicate, entity2 FROM triples WHERE predicate <> 'view'")),
     "flt4_nonempty": (nonempty, o.sql("SELECT predicate, count(*) AS n FROM kept_triples GROUP BY predicate")),
     "agg14_class_counts": (class_counts, o.sql("SELECT predicate, count(*) AS n FROM triples GROUP BY predicate")),

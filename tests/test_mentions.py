@@ -1,3 +1,9 @@
+import random
+import time
+
+import pytest
+
+from newsgraph import lexicon as lx
 from newsgraph.operators import mentions as mn
 
 ATTRIBUTES = [
@@ -66,3 +72,37 @@ def test_no_row_carries_its_article(spark):
     """A run of pieces is cut before the pieces are exploded, so a long text stays linear."""
     frame = spark.createDataFrame([(1, "Word " * 60_000)], "article_id long, text string")
     assert mn.ngrams(frame).count() == 60_000 * 3 - 3
+
+
+def brute_taken(hits):
+    order = {name: i for i, name in enumerate(lx.ENTITY_TYPES + lx.ATTRIBUTE_TYPES)}
+    taken = []
+    for pos, words, text, label in sorted(hits, key=lambda h: (-h[1], h[0], order[h[3]])):
+        if all(pos + words <= t[0] or t[0] + t[1] <= pos for t in taken):
+            taken.append((pos, words, text, label))
+    return sorted(taken)
+
+
+@pytest.mark.parametrize("small", [0, 24])
+def test_overlaps_equal_brute_force(spark, monkeypatch, small):
+    monkeypatch.setattr(mn, "SMALL_ISLAND", small)
+    rnd = random.Random(7)
+    articles = {}
+    for a in range(12):
+        hits = {(rnd.randrange(0, 900 if a % 2 else 60), rnd.choice([1, 1, 2, 3, 7, 300 if a == 3 else 4]), rnd.choice(["PERSON", "ORG", "GPE"])) for _ in range(150)}
+        articles[a] = [(p, w, f"{p}-{w}", label) for p, w, label in hits]
+    rows = [(a, *h) for a, hits in articles.items() for h in hits]
+    frame = spark.createDataFrame(rows, "article_id long, pos int, words int, text string, label string").repartition(3)
+    found = {}
+    for r in mn.without_overlaps(frame).collect():
+        found.setdefault(r["article_id"], []).append((r["pos"], r["words"], r["text"], r["label"]))
+    assert {a: sorted(h) for a, h in found.items()} == {a: brute_taken(h) for a, h in articles.items()}
+
+
+def test_a_long_chain_of_hits_takes_seconds(spark):
+    chain = spark.range(3_000).selectExpr("1L article_id", "cast(id as int) pos", "2 words", "cast(id as string) text", "'ORG' label")
+    start = time.time()
+    taken = mn.without_overlaps(chain)
+    assert taken.agg({"pos": "sum", "words": "count"}).first()[0:2] is not None
+    assert taken.count() == 1_500 and taken.where("pos % 2 = 1").count() == 0
+    assert time.time() - start < 120
