@@ -186,3 +186,18 @@ def test_stream_of_several_files_equals_one_run(spark, linked, relations, tmp_pa
     stream.maintain(frame, analyse, str(tmp_path / "kb"), str(tmp_path / "check")).awaitTermination()
     assert stream.commits(spark, str(tmp_path / "kb")).count() == 4
     _same(stream.read_knowledge_base(spark, str(tmp_path / "kb")), linked, relations)
+
+
+def test_a_batch_of_one_file_is_analysed_in_parts(spark, linked, relations, tmp_path):
+    rows = spark.range(1000).select(F.col("id").alias("article_id"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    sizes = []
+
+    def analyse(batch):
+        sizes.extend(r["count"] for r in batch.groupBy(F.input_file_name()).count().collect())
+        return linked, relations
+
+    source = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in"))
+    stream.maintain(source, analyse, str(tmp_path / "kb"), str(tmp_path / "checkpoint")).awaitTermination()
+    assert sum(sizes) == 1000 and len(sizes) >= spark.sparkContext.defaultParallelism
+    _same(stream.read_knowledge_base(spark, str(tmp_path / "kb")), linked, relations)
