@@ -78,3 +78,18 @@ def test_scratch_follows_the_session_setting(spark):
 def test_spread_only_for_small_scans(spark):
     assert sc.spread(spark.range(10).coalesce(1), "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert sc.spread(spark.range(0, 100, 1, 40), "id").rdd.getNumPartitions() == 40
+
+
+def test_spread_shares_one_row_group(spark, tmp_path):
+    """A file of one row group has many splits and one task that reads rows."""
+    path = str(tmp_path / "one")
+    spark.range(20_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text")).coalesce(1).write.parquet(path)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16k")
+    try:
+        frame = spark.read.parquet(path)
+        assert frame.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+        sizes = [r["count"] for r in sc.spread(frame, "id").groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert sum(sizes) == 20_000 and max(sizes) < 15_000
