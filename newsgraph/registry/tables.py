@@ -139,8 +139,8 @@ def class_counts(spark, sf_dir):
 
 
 def _document_triples(spark, sf_dir):
-    """Relations of the documents; the object as class gives many classes of one row."""
-    rows = rl.relations_of_text(articles(spark, sf_dir))
+    """Relations of the documents; the object as class gives many classes of one row. Staged: the splits read them often."""
+    rows = materialise(rl.relations_of_text(articles(spark, sf_dir)), "document-relations")
     return rows.select("article_id", "sent", F.col("subject").alias("entity1"), F.col("object").alias("predicate"), F.col("predicate").alias("entity2"))
 
 
@@ -159,7 +159,7 @@ def random_split(spark, sf_dir):
 def fallback_split(spark, sf_dir):
     """Classes of two rows cannot be stratified, so the plain split must be chosen."""
     rows = sp.drop_rare_classes(_document_triples(spark, sf_dir)).withColumn("id", F.concat_ws("-", "article_id", "sent"))
-    return sp.split(rows).select("id", "split")
+    return sp.split(materialise(rows, "kept-triples")).select("id", "split")
 
 
 def small_train(spark, sf_dir):
