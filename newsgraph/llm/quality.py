@@ -9,6 +9,7 @@ the rules become one ordered conditional expression.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -52,6 +53,11 @@ class Condition:
 Rule = tuple[Condition, ...]
 
 
+def _defined(expression: str) -> str:
+    """The expression with shares that are null, so that no condition holds, where a text has no words to divide by."""
+    return re.sub(r"(\w+) / (\w+)", r"try_divide(\1, \2)", expression)
+
+
 def with_counts(df: DataFrame, text: str = "text") -> DataFrame:
     """Add the counts of `BASE` and `EXTRA`, all long; a null text counts as empty.
 
@@ -103,7 +109,7 @@ def _binned(labelled: DataFrame) -> DataFrame:
     """Counts of good and bad rows by the bins of all features, for growing and for pruning."""
     bins = []
     for name, (value, steps) in FEATURES.items():
-        bins.append(F.expr(f"size(filter(array({', '.join(f'{s!r}D' for s in steps)}), t -> {value} >= t))").alias(name))
+        bins.append(F.expr(f"size(filter(array({', '.join(f'{s!r}D' for s in steps)}), t -> {_defined(value)} >= t))").alias(name))
     part = (F.pmod(F.xxhash64("doc_id"), F.lit(3)) == 0).alias("for_pruning")
     return (
         labelled.where("n_words > 0 AND quality IS NOT NULL")
@@ -207,7 +213,7 @@ def rule_number(rules: Sequence[Rule]) -> Column:
     """Number of the first rule that fires, from 1 on; 0 if none does."""
     out = F.lit(0)
     for number in range(len(rules), 0, -1):
-        out = F.when(F.expr(" AND ".join(c.sql() for c in rules[number - 1])), F.lit(number)).otherwise(out)
+        out = F.when(F.expr(" AND ".join(_defined(c.sql()) for c in rules[number - 1])), F.lit(number)).otherwise(out)
     return out
 
 

@@ -63,6 +63,20 @@ def test_rules_are_learned(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(400) if i % 4]
 
 
+def test_texts_without_words_meet_learned_shares(spark):
+    """A text without words has no shares: it fails the base, and no rule divides by its zero words or lines."""
+    docs, labels = made_up(spark)
+    blank = [(400 + i, text, "en", "s", 0) for i, text in enumerate([None, "", " \n\t "])]
+    docs = docs.unionByName(spark.createDataFrame(blank, docs.schema))
+    labels = labels.unionByName(spark.createDataFrame([(d, 0, 0) for d, *_ in blank], labels.schema))
+    found = {r.doc_id: r for r in quality.verdicts(docs, labels).collect()}
+    assert len(found) == 403 and all(found[d].kept == (d % 4 != 0) for d in range(400))
+    assert all(found[d].base_failed and not found[d].kept and found[d].rule == 0 for d in (400, 401, 402))
+    assert sorted(r.doc_id for r in quality.keep_good(docs, labels).collect()) == [i for i in range(400) if i % 4]
+    twice = [(Condition("word_length", True, 2.0), Condition("word_length", False, 3.0)), (Condition("line_words", False, 8.0),)]
+    assert quality.with_counts(docs).where("doc_id >= 400").select(quality.rule_number(twice).alias("rule")).distinct().collect() == [(0,)]
+
+
 def test_rule_order():
     rules = [(Condition("words", True, 64.0),), (Condition("words", True, 32.0), Condition("word_length", False, 3.0))]
     assert [c.sql() for c in rules[1]] == ["n_words >= 32.0D", "word_chars / n_words < 3.0D"]
